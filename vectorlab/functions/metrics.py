@@ -36,6 +36,7 @@ METRICS = {
     "JACCARD": Metric("JACCARD", V.jaccard_distance, V.jaccard_distance, on_bits=True),
 }
 METRICS["DP"] = METRICS["IP"]
+METRICS["EUCLIDEAN"] = METRICS["L2"]
 
 
 def metric(name: str) -> Metric:

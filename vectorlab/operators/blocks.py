@@ -41,10 +41,12 @@ class Space:
 
     `coarse` is a matrix product with rounding error below `slack`; `exact` re-evaluates single
     pairs in a fixed order. Rows that survive the coarse bound are ranked by the exact value.
+    `decode` (offset, step) turns scalar codes back into components.
     """
 
     name: str
     queries: np.ndarray
+    decode: tuple[np.ndarray, np.ndarray] | None = None
     _aux: np.ndarray | None = field(default=None, repr=False)
 
     def __post_init__(self):
@@ -62,7 +64,8 @@ class Space:
     def load(self, column: pa.Array) -> np.ndarray:
         if self.name in ("HAMMING", "JACCARD"):
             return self._bits(matrix(column, np.int8))
-        return matrix(column, np.float64)
+        x = matrix(column, np.float64)
+        return x if self.decode is None else x * self.decode[1] + self.decode[0]
 
     def coarse(self, rows: slice, x: np.ndarray) -> np.ndarray:
         q, aux = self.queries[rows], self._aux[rows][:, None]
@@ -129,7 +132,7 @@ class CodeSpace(Space):
     def __init__(self, tables: np.ndarray):
         self.name = "PQ"
         self.queries = tables
-        self._aux = None
+        self.decode = self._aux = None
 
     def load(self, column: pa.Array) -> np.ndarray:
         return matrix(column, np.int64)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import matrix, nearest
+from .running import running_sum
 from .vectors import dimension_range
 
 BINS = 4096
@@ -86,11 +89,11 @@ def dimension_quantiles(df: DataFrame, emb: str, levels: list[float]) -> DataFra
 
     inside = (vectors.mapInArrow(values, "dim int, bin int, v double, n bigint")
               .groupBy("dim", "bin", "v").agg(F.sum("n").alias("n")))
-    in_bin = Window.partitionBy("dim", "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = inside.withColumn("upto", F.sum("n").over(in_bin))
-    targets = spark.createDataFrame(wanted) if len(wanted) else None
-    if targets is None:
+    # a far outlier can push most of a dimension into one bin, so the bin is summed in chunks
+    placed = running_sum(inside, ["dim", "bin"], ["v"], "n", "upto")
+    if not len(wanted):
         return spark.createDataFrame([], "dim int, level double, value double")
+    targets = spark.createDataFrame(wanted)
     joined = placed.join(targets, ["dim", "bin"])
     end = F.col("before") + F.col("upto")
     start = end - F.col("n")
@@ -110,22 +113,45 @@ def range_arrays(params: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return table["lo"].to_numpy(np.float64), table["hi"].to_numpy(np.float64)
 
 
-def scalar_codes(emb: Column, lo: np.ndarray, hi: np.ndarray, bits: int = 8) -> Column:
+def map_vectors(df: DataFrame, change: Callable[[np.ndarray], np.ndarray], element: str,
+                keep: list[str] | None = None, emb: str = "emb", out: str = "emb") -> DataFrame:
+    """`keep` columns plus `out`: the batch function `change` applied to the rows of `emb`."""
+    columns = ["id"] if keep is None else keep
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            y = np.ascontiguousarray(change(matrix(batch.column("_v"))))
+            offsets = pa.array((np.arange(len(y) + 1) * y.shape[1]).astype(np.int32))
+            lists = pa.ListArray.from_arrays(offsets, pa.array(y.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in columns] + [lists], names=columns + [out])
+
+    rows = df.filter(F.col(emb).isNotNull()).select(*columns, F.col(emb).alias("_v"))
+    fields = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in columns)
+    return rows.mapInArrow(run, f"{fields}`{out}` array<{element}>")
+
+
+def bit_codes(df: DataFrame, keep: list[str] | None = None, emb: str = "emb", out: str = "emb") -> DataFrame:
+    """Sign bits packed to bytes, high bit first, for whole batches."""
+    return map_vectors(df, lambda x: np.packbits(x > 0, axis=1).view(np.int8), "tinyint", keep, emb, out)
+
+
+def scalar_steps(lo: np.ndarray, hi: np.ndarray, bits: int = 8) -> np.ndarray:
+    return np.where(hi > lo, hi - lo, 1.0) / float(2**bits - 1)
+
+
+def scalar_codes(df: DataFrame, lo: np.ndarray, hi: np.ndarray, bits: int = 8, keep: list[str] | None = None,
+                 emb: str = "emb", out: str = "emb") -> DataFrame:
     """Codes 0 .. 2^bits-1 per component; values outside the range take the end codes."""
-    top = float(2**bits - 1)
-    span = np.where(hi > lo, hi - lo, 1.0)
-    lows = F.array(*[F.lit(float(v)) for v in lo])
-    spans = F.array(*[F.lit(float(v)) for v in span])
-    offset = F.zip_with(emb.cast("array<double>"), lows, lambda x, low: x - low)
-    return F.zip_with(offset, spans, lambda d, s: F.greatest(
-        F.lit(0.0), F.least(F.lit(top), F.floor(d / s * top + 0.5).cast("double"))).cast("smallint"))
+    top, step = 2**bits - 1, scalar_steps(lo, hi, bits)
+    return map_vectors(df, lambda x: np.clip(np.floor((x - lo) / step + 0.5), 0, top).astype(np.int16),
+                       "smallint", keep, emb, out)
 
 
-def decode_scalar(codes: Column, lo: np.ndarray, hi: np.ndarray, bits: int = 8) -> Column:
-    top = float(2**bits - 1)
-    span = np.where(hi > lo, hi - lo, 1.0)
+def decode_scalar(codes: Column, lo: np.ndarray, step: np.ndarray) -> Column:
     lows = F.array(*[F.lit(float(v)) for v in lo])
-    steps = F.array(*[F.lit(float(v / top)) for v in span])
+    steps = F.array(*[F.lit(float(v)) for v in step])
     return F.zip_with(F.zip_with(codes.cast("array<double>"), steps, lambda c, s: c * s), lows, lambda a, b: a + b)
 
 
@@ -150,23 +176,15 @@ def fit_codebooks(df: DataFrame, m: int, nbits: int = 8, emb: str = "emb", fract
     return np.stack(books)
 
 
-def product_codes(df: DataFrame, codebooks: np.ndarray, keep: list[str] | None = None, emb: str = "emb") -> DataFrame:
-    """`keep` columns plus `emb`, now the code of each sub-vector (nearest centre, ties low)."""
-    columns = keep or ["id"]
+def product_codes(df: DataFrame, codebooks: np.ndarray, keep: list[str] | None = None, emb: str = "emb",
+                  out: str = "emb") -> DataFrame:
+    """The code of each sub-vector: its nearest centre, ties to the lower code."""
     shared = df.sparkSession.sparkContext.broadcast(codebooks)
 
-    def encode(batches):
-        for batch in batches:
-            x = matrix(batch.column("_v"))
-            books = shared.value
-            m, _, width = books.shape
-            codes = np.empty((len(x), m), np.int16)
-            for s in range(m) if len(x) else ():
-                codes[:, s] = nearest(books[s], x[:, s * width : (s + 1) * width])
-            offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * m)
-            lists = pa.ListArray.from_arrays(offsets, pa.array(codes.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in columns] + [lists], names=columns + ["emb"])
-
-    rows = df.select(*columns, F.col(emb).alias("_v"))
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*columns).schema)
-    return rows.mapInArrow(encode, f"{fields}, emb array<smallint>")
+    def encode(x: np.ndarray) -> np.ndarray:
+        books = shared.value
+        width = books.shape[2]
+        codes = [nearest(book, x[:, s * width : (s + 1) * width]) for s, book in enumerate(books)]
+        return np.stack(codes, axis=1).astype(np.int16)
+
+    return map_vectors(df, encode, "smallint", keep, emb, out)

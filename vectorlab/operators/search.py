@@ -7,6 +7,7 @@ of checked size, each task keeps k rows per query, and only those meet in the fi
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -35,26 +36,33 @@ def query_blocks(queries: DataFrame, k: int, bytes_per_value: int = 8, tables: i
     row = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("emb")).alias("dim")).first()
     n, dim = row["n"], row["dim"] or 0
     limit = broadcast_limit(queries.sparkSession)
-    total = n * (dim * bytes_per_value * tables + 16 * k)
+    total = n * (dim * bytes_per_value * tables + 24 * k)
     if total <= limit:
         return 1, n
     # hashing is uneven, so blocks aim at three quarters of the limit
     return int(np.ceil(total / (0.75 * limit))), n
 
 
-def _collect_block(block: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and vectors of one size-checked query block."""
-    table = block.select("qid", "emb").toArrow()
-    ids = table.column("qid").to_numpy()
-    kind = table.schema.field("emb").type.value_type
-    vectors = matrix(table.column("emb"), np.int8 if kind == pa.int8() else np.float64)
-    order = np.argsort(ids, kind="stable")
-    return ids[order], vectors[order]
+@dataclass
+class QueryBlock:
+    """Ids and vectors of one size-checked query block, in id order, with any further columns."""
 
+    ids: np.ndarray
+    vectors: np.ndarray
+    columns: dict[str, np.ndarray] = field(default_factory=dict)
 
-def over_query_blocks(queries: DataFrame, k: int, scan: Callable[[np.ndarray, np.ndarray], DataFrame],
+    @classmethod
+    def fetch(cls, block: DataFrame) -> "QueryBlock":
+        table = block.toArrow().sort_by("qid")
+        kind = table.schema.field("emb").type.value_type
+        vectors = matrix(table.column("emb"), np.int8 if kind == pa.int8() else np.float64)
+        others = {c: table.column(c).to_numpy() for c in table.column_names if c not in ("qid", "emb")}
+        return cls(table.column("qid").to_numpy(), vectors, others)
+
+
+def over_query_blocks(queries: DataFrame, k: int, scan: Callable[[QueryBlock], DataFrame],
                       tables: int = 1) -> DataFrame:
-    """Run `scan(ids, vectors)` for every query block and join the answers.
+    """Run `scan(block)` for every block of `queries(qid, emb, ...)` and join the answers.
 
     One block is the normal case and stays lazy. A query set above the broadcast limit is cut
     into blocks by a hash of the query id; every block is a full parallel pass over the corpus
@@ -66,13 +74,12 @@ def over_query_blocks(queries: DataFrame, k: int, scan: Callable[[np.ndarray, np
     if n == 0:
         return spark.createDataFrame([], RESULT)
     if blocks == 1:
-        return scan(*_collect_block(queries))
+        return scan(QueryBlock.fetch(queries))
     path = scratch_path(spark, "answers")
     for b in range(blocks):
-        block = queries.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b)
-        ids, vectors = _collect_block(block)
-        if len(ids):
-            scan(ids, vectors).write.mode("append").parquet(path)
+        block = QueryBlock.fetch(queries.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b))
+        if len(block.ids):
+            scan(block).write.mode("append").parquet(path)
     return spark.read.schema(RESULT).parquet(path)
 
 
@@ -136,7 +143,8 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int = 100, metric: str = "L2
     """
     name = metric_of(metric).name
     rows = corpus if where is None else corpus.filter(where)
-    return over_query_blocks(queries, k, lambda ids, q: scan_corpus(rows, ids, Space(name, q), k))
+    return over_query_blocks(queries.select("qid", "emb"), k,
+                             lambda block: scan_corpus(rows, block.ids, Space(name, block.vectors), k))
 
 
 def top_k_one(vector: list[float], corpus: DataFrame, k: int = 100, metric: str = "L2",
@@ -182,12 +190,16 @@ def rerank(queries: DataFrame, corpus: DataFrame, candidates: DataFrame, k: int,
             .select("qid", "id", "dist", "rank"))
 
 
-def two_phase(queries: DataFrame, coarse: DataFrame, corpus: DataFrame, k: int, width: int,
-              metric: str = "L2", max_queries: int | None = None) -> DataFrame:
-    """Rerank the `width` best coarse answers of each query by their full vectors."""
-    wide = coarse.filter(F.col("rank") <= width)
-    bound = None if max_queries is None else max_queries * width
-    return rerank(queries, corpus, wide, k, metric, bound)
+def two_phase(queries: DataFrame, coarse_queries: DataFrame, corpus: DataFrame, k: int, width: int,
+              coarse_scan: Callable[[QueryBlock], DataFrame], metric: str = "L2") -> DataFrame:
+    """`width` candidates per query from `coarse_scan`, reranked by their full vectors.
+
+    Both phases run per query block, so the candidates to broadcast are bounded by the block.
+    """
+    def scan(block: QueryBlock) -> DataFrame:
+        return rerank(queries, corpus, coarse_scan(block), k, metric, len(block.ids) * width)
+
+    return over_query_blocks(coarse_queries, width, scan)
 
 
 def answer_lists(answers: DataFrame, k: int | None = None, ids: str = "ids") -> DataFrame:
@@ -204,15 +216,31 @@ def ground_truth(queries: DataFrame, corpus: DataFrame, k: int = 100, metric: st
     return answer_lists(exact, ids="neighbors_id").withColumnRenamed("qid", "id")
 
 
-def pq_top_k(queries: DataFrame, codes: DataFrame, codebooks: np.ndarray, k: int,
-             probes: dict[int, np.ndarray] | None = None) -> DataFrame:
+def coded_top_k(queries: DataFrame, codes: DataFrame, k: int, lo: np.ndarray, step: np.ndarray,
+                metric: str = "L2") -> DataFrame:
+    """Top-k over scalar codes; the scan moves codes and decodes them next to the arithmetic."""
+    name = metric_of(metric).name
+    return over_query_blocks(
+        queries.select("qid", "emb"), k,
+        lambda block: scan_corpus(codes, block.ids, Space(name, block.vectors, decode=(lo, step)), k))
+
+
+def product_tables(vectors: np.ndarray, codebooks: np.ndarray) -> np.ndarray:
+    """Squared distance of every query sub-vector to every code."""
+    m, _, width = codebooks.shape
+    parts = vectors.reshape(len(vectors), m, 1, width)
+    return ((parts - codebooks[None]) ** 2).sum(axis=3)
+
+
+def product_top_k(queries: DataFrame, codes: DataFrame, codebooks: np.ndarray, k: int,
+                  probes_of: Callable[[np.ndarray], dict[int, np.ndarray]] | None = None) -> DataFrame:
     """Top-k over product-quantised rows by per-query distance tables (L2)."""
-    m, n_codes, width = codebooks.shape
+    _, n_codes, width = codebooks.shape
 
-    def scan(ids: np.ndarray, q: np.ndarray) -> DataFrame:
-        parts = q.reshape(len(q), m, width)
-        tables = ((parts[:, :, None, :] - codebooks[None]) ** 2).sum(axis=3)
-        found = scan_corpus(codes, ids, CodeSpace(tables), k, probes)
-        return found.withColumn("dist", F.sqrt("dist"))
+    def scan(block: QueryBlock) -> DataFrame:
+        probes = probes_of(block.vectors) if probes_of else None
+        rows = codes if probes is None else codes.filter(F.col("list_id").isin(list(probes)))
+        tables = product_tables(block.vectors, codebooks)
+        return scan_corpus(rows, block.ids, CodeSpace(tables), k, probes).withColumn("dist", F.sqrt("dist"))
 
-    return over_query_blocks(queries, k, scan, tables=max(1, n_codes // width + 1))
+    return over_query_blocks(queries.select("qid", "emb"), k, scan, tables=max(1, n_codes // width + 1))

@@ -26,6 +26,7 @@ def build_session(app: str = "vectorlab", master: str | None = None, shuffle_par
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
         builder = builder.master(master).config("spark.driver.memory", "8g")
