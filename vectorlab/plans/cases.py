@@ -154,16 +154,14 @@ def as_parametric(case_id: Column, custom: Column) -> tuple[Column, Column]:
     return F.when(old, F.lit(ID_FILTER)).otherwise(case_id), F.when(old, params).otherwise(custom)
 
 
-def matrix(*tables: DataFrame) -> DataFrame:
-    """All combinations of parameter tables.
+def expand(rows: DataFrame, **settings: list) -> DataFrame:
+    """Task matrix: every row once per combination of the listed settings.
 
-    The product is the wanted output (one task per combination). Each table is a short list of
-    settings, so the tables are joined on a constant key.
+    A narrow row expansion; nulls in a list stand for "not set".
     """
-    result, *rest = [t.withColumn("_all", F.lit(1)) for t in tables]
-    for t in rest:
-        result = result.join(t, "_all")
-    return result.drop("_all")
+    for name, values in settings.items():
+        rows = rows.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
+    return rows
 
 
 def filter_cases(rows: DataFrame, choice: str = "choice") -> DataFrame:

@@ -1 +1,11 @@
+"""All registered queries by name."""
 
+from . import base, vectors
+
+
+def queries():
+    return base.QUERIES
+
+
+def oracles():
+    return base.ORACLES
