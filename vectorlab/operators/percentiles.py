@@ -30,8 +30,10 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, levels: list[f
         F.count("_v").alias("n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
 
     def bracket(i: int, p: float):
-        low = F.col("_min") if p - MARGIN <= 0 else F.col("_s")[i]
-        high = F.col("_max") if p + MARGIN >= 1 else F.col("_s")[len(levels) + i]
+        # in a small group the margin is less than a rank, so its whole range is the bracket
+        small = F.col("n") <= ACCURACY
+        low = F.col("_min") if p - MARGIN <= 0 else F.when(small, F.col("_min")).otherwise(F.col("_s")[i])
+        high = F.col("_max") if p + MARGIN >= 1 else F.when(small, F.col("_max")).otherwise(F.col("_s")[len(levels) + i])
         rank = (F.col("n") - 1) * F.lit(float(p))
         return F.struct(F.lit(float(p)).alias("level"), rank.alias("rank"), low.alias("low"), high.alias("high"))
 

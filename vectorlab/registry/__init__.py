@@ -1,6 +1,6 @@
 """All registered queries by name."""
 
-from . import base, vectors
+from . import base, scoring, vectors  # noqa: F401
 
 
 def queries():

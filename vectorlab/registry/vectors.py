@@ -161,7 +161,14 @@ def pack_bits_expression(spark, sf):
         "id", F.col("position").cast("bigint").alias("position"), F.col("code").cast("bigint").alias("code"))
 
 
-@query("p14_half_precision")
+# rounding to 10 mantissa bits, half to even; below 2^-14 the step stays 2^-24
+_FP16 = f"""WITH {C}, parts AS (SELECT id, unnest(emb) AS x, generate_subscripts(emb, 1) AS d FROM c),
+st AS (SELECT *, power(2.0, greatest(floor(log2(greatest(abs(x), 1e-30))), -14) - 10) AS step FROM parts),
+cut AS (SELECT id, x, round_even(x / step, 0) * step AS y FROM st)
+SELECT id, round(sum(y), 6) AS total, round(sqrt(sum((x - y) * (x - y))), 6) AS error FROM cut GROUP BY id"""
+
+
+@query("p14_half_precision", _FP16)
 def half_precision(spark, sf):
     h = corpus(spark, sf).select("id", V.half_precision("emb").alias("h"), "emb")
     return h.select("id", r6(_total(V.as_double(F.col("h"))), "total"), r6(V.l2_distance(F.col("h"), F.col("emb")), "error"))
