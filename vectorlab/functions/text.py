@@ -94,7 +94,7 @@ def number_list(text: Column) -> Column:
 
 def clean_list(text: Column) -> Column:
     """Comma-separated text as trimmed, non-empty items."""
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def without_nulls(options: Column) -> Column:

@@ -40,13 +40,15 @@ _corrupt string
 """
 
 
-def read_result_files(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """(readable files, unreadable files) of a directory tree of `result_*.json`, with their path.
+def read_result_files(spark: SparkSession, root: str, one_per_file: bool = True,
+                      pattern: str = "result_*.json") -> tuple[DataFrame, DataFrame]:
+    """(readable results, unreadable ones) of a directory tree, with their path.
 
-    One file is one JSON value; a file that cannot be parsed lands in the second table.
+    One file is one JSON value; a large archive is better kept as one value per line, which
+    splits over tasks. A value that cannot be parsed lands in the second table.
     """
-    files = (spark.read.schema(SCHEMA).option("multiLine", True).option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "result_*.json").option("mode", "PERMISSIVE")
+    files = (spark.read.schema(SCHEMA).option("multiLine", one_per_file).option("recursiveFileLookup", True)
+             .option("pathGlobFilter", pattern).option("mode", "PERMISSIVE")
              .option("columnNameOfCorruptRecord", "_corrupt").json(root)
              .withColumn("path", F.input_file_name()))
     good = files.filter(F.col("_corrupt").isNull() & F.col("run_id").isNotNull()).drop("_corrupt")
