@@ -22,9 +22,15 @@ def per_query_scores(answers: DataFrame, truth: DataFrame, k: int) -> DataFrame:
 
 
 def run_scores(scores: DataFrame) -> DataFrame:
-    """Average recall and NDCG of a run; zero when there was nothing to compare."""
-    return scores.agg(round4(F.coalesce(F.avg("recall"), F.lit(0.0))).alias("recall"),
-                      round4(F.coalesce(F.avg("ndcg"), F.lit(0.0))).alias("ndcg"))
+    """Average recall and NDCG of a run; zero when there was nothing to compare.
+
+    The last digits of a distributed sum depend on the order of its parts, so they are cut
+    before the four-digit rounding; otherwise a tie could round either way from run to run.
+    """
+    def mean(name: str) -> Column:
+        return round4(F.round(F.coalesce(F.avg(name), F.lit(0.0)), 12)).alias(name)
+
+    return scores.agg(mean("recall"), mean("ndcg"))
 
 
 def serial_latency(log: DataFrame) -> DataFrame:

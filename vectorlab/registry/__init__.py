@@ -1,6 +1,6 @@
 """All registered queries by name."""
 
-from . import base, results, scoring, vectors  # noqa: F401
+from . import base, results, scoring, tables, vectors  # noqa: F401
 
 
 def queries():

@@ -31,43 +31,51 @@ def orders(spark, sf):
     return table(spark, sf, "orders")
 
 
-def documents(spark, sf):
-    """One nested result document per order, in the layout of a result file, with a path."""
-    def metric(scale: float, old: bool) -> str:
-        load = "cast(o_orderkey % 50 as double)"
-        conc = ("'conc_num_list', array(1, 5, 10), 'conc_qps_list', array(o_totalprice / 4, o_totalprice / 2), "
-                "'conc_latency_p99_list', array(0.5D, 0.25D, 0.125D)")
-        stage = (f"'st_search_stage_list', array(50, 90, 100, 110), 'st_search_time_list', array(1.5D, 2.5D, 3.5D, 4.5D), "
-                 f"'st_max_qps_list_list', array(o_totalprice / 8, o_totalprice / 7, o_totalprice / 6, o_totalprice / 5), "
-                 f"'st_recall_list', array(0.4D, 0.8D, 0.9D, 0.95D), 'st_ndcg_list', array(0.45D, 0.85D, 0.9D, 0.9D), "
-                 f"'st_serial_latency_p99_list', array(0.0125D, 0.02D, 0.03D, 0.01D), 'st_ideal_insert_duration', 200")
-        base = (f"'max_load_count', o_orderkey * 10, 'qps', o_totalprice * {scale}D, 'recall', (o_orderkey % 100) / 100, "
-                f"'serial_latency_p99', (o_custkey % 1000) / 1000")
-        fields = f"{base}, 'load_dur', {load}" if old else \
-            f"{base}, 'load_duration', {load}, 'serial_latency_p95', (o_custkey % 900) / 1000, 'insert_duration', 1.5D, {conc}, {stage}"
-        return f"named_struct({fields})"
-
-    def result(scale: float, old: bool) -> str:
-        return (f"to_json(named_struct('label', {STATUS}, 'metrics', {metric(scale, old)}, 'task_config', named_struct("
-                f"'db', o_orderpriority, 'db_config', named_struct('db_label', o_orderstatus, 'version', {VERSION}, 'note', 'n', "
-                f"'password', 'secret', 'api_key', 'key'), 'db_case_config', map('index', 'FLAT', 'nlist', cast(null as string)), "
-                f"'case_config', named_struct('case_id', {CASE_ID}, 'k', 100, 'custom_case', map('insert_rate', '500')))))")
-
-    body = (f"concat('{{\"run_id\":\"', 'r', o_custkey, '\",', "
-            f"CASE WHEN o_custkey % 5 = 0 THEN '' ELSE concat('\"task_label\":\"', {LABEL}, '\",') END, "
-            f"'\"timestamp\":', cast(unix_seconds(cast(o_orderdate as timestamp)) as double), ',\"results\":[', "
-            f"CASE WHEN {OLD} THEN {result(1, True)} ELSE {result(1, False)} END, ',', "
-            f"CASE WHEN {OLD} THEN {result(0.5, True)} ELSE {result(0.5, False)} END, ']}}')")
+def _fill(fields, given):
+    """A struct of the given expressions; fields without one are null."""
+    return F.struct(*[(F.expr(given[f.name]) if isinstance(given.get(f.name), str) else given.get(f.name, F.lit(None)))
+                      .cast(f.dataType).alias(f.name) for f in fields])
+
+
+def _result(spec, scale: float):
+    newer = {
+        "conc_num_list": "array(1, 5, 10)", "conc_qps_list": "array(o_totalprice / 4, o_totalprice / 2)",
+        "conc_latency_p99_list": "array(0.5D, 0.25D, 0.125D)", "insert_duration": "1.5D",
+        "load_duration": "o_orderkey % 50", "serial_latency_p95": "(o_custkey % 900) / 1000",
+        "st_ideal_insert_duration": "200", "st_search_stage_list": "array(50, 90, 100, 110)",
+        "st_search_time_list": "array(1.5D, 2.5D, 3.5D, 4.5D)",
+        "st_max_qps_list_list": "array(o_totalprice / 8, o_totalprice / 7, o_totalprice / 6, o_totalprice / 5)",
+        "st_recall_list": "array(0.4D, 0.8D, 0.9D, 0.95D)", "st_ndcg_list": "array(0.45D, 0.85D, 0.9D, 0.9D)",
+        "st_serial_latency_p99_list": "array(0.0125D, 0.02D, 0.03D, 0.01D)"}
+    given = {"max_load_count": "o_orderkey * 10", "qps": f"o_totalprice * {scale}D", "recall": "(o_orderkey % 100) / 100",
+             "serial_latency_p99": "(o_custkey % 1000) / 1000", "load_dur": f"CASE WHEN {OLD} THEN o_orderkey % 50 END",
+             **{k: f"CASE WHEN NOT ({OLD}) THEN {v} END" for k, v in newer.items()}}
+    task = spec["task_config"].dataType
+    config = _fill(task["db_config"].dataType, {"db_label": "o_orderstatus", "version": VERSION, "note": "'n'"})
+    case = _fill(task["case_config"].dataType, {"case_id": CASE_ID, "k": "100", "custom_case": "map('insert_rate', '500')"})
+    return _fill(spec, {
+        "label": STATUS, "metrics": _fill(spec["metrics"].dataType, given),
+        "task_config": _fill(task, {"db": "o_orderpriority", "db_config": config, "case_config": case,
+                                    "db_case_config": "map('index', 'FLAT', 'nlist', cast(null as string))"})})
+
+
+def parsed(spark, sf):
+    """One result document per order as the reader returns it, under a path of its own."""
+    schema = RS.schema()
+    spec = schema["results"].dataType.elementType
     path = ("concat('results/', o_orderpriority, '/result_', date_format(o_orderdate, 'yyyyMMdd'), '_', "
             "lpad(cast(o_orderkey as string), 12, '0'), CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE concat('_', lower(o_orderpriority)) END, '.json')")
-    return orders(spark, sf).select(F.expr(body).alias("value"), F.expr(path).alias("path"), "o_orderkey")
+    return orders(spark, sf).select(
+        F.expr("concat('r', o_custkey)").alias("run_id"),
+        F.expr(f"CASE WHEN o_custkey % 5 <> 0 THEN {LABEL} END").alias("task_label"),
+        F.expr("cast(unix_seconds(cast(o_orderdate as timestamp)) as double)").alias("timestamp"),
+        F.array(_result(spec, 1), _result(spec, 0.5)).alias("results"), F.expr(path).alias("path"), "o_orderkey")
 
 
-def parsed(spark, sf):
-    """The documents as the reader returns them, under their own path."""
-    schema = RS.SCHEMA.replace("_corrupt string", "").strip().rstrip(",")
-    d = documents(spark, sf).select("path", F.from_json("value", schema).alias("d"))
-    return d.select("d.*", "path")
+def documents(spark, sf):
+    """The same documents as JSON text; null fields are left out."""
+    d = parsed(spark, sf)
+    return d.select(F.to_json(F.struct("run_id", "task_label", "timestamp", "results")).alias("value"), "path", "o_orderkey")
 
 
 # the two results of every order in SQL

@@ -40,6 +40,11 @@ _corrupt string
 """
 
 
+def schema() -> StructType:
+    """The layout of a result file as a Spark type."""
+    return StructType.fromDDL(SCHEMA)
+
+
 def read_result_files(spark: SparkSession, root: str, one_per_file: bool = True,
                       pattern: str = "result_*.json") -> tuple[DataFrame, DataFrame]:
     """(readable results, unreadable ones) of a directory tree, with their path.
@@ -78,7 +83,7 @@ def _first_non_zero(*columns: Column) -> Column:
 
 def flat_cases(files: DataFrame, change_units: bool = False) -> DataFrame:
     """Case results as flat rows, older field names and missing fields filled in."""
-    rows = case_rows(files)
+    rows = files.select("run_id", "path", F.posexplode("results").alias("position", "r"))
     m = F.col("r.metrics")
     task = F.col("r.task_config")
     load_count = m["max_load_count"].cast("double")
@@ -86,8 +91,9 @@ def flat_cases(files: DataFrame, change_units: bool = False) -> DataFrame:
     p95 = F.coalesce(m["serial_latency_p95"], F.lit(0.0))
     if change_units:
         load_count, p99, p95 = N.rows_to_thousands(load_count), N.seconds_to_ms(p99), N.seconds_to_ms(p95)
-    return rows.select(
-        "run_id", "task_label", "timestamp", "path", "position",
+    # flat columns first, so that the join moves no nested result
+    flat = rows.select(
+        "run_id", "path", "position",
         task["db"].alias("db"), F.coalesce(task["db_config"]["db_label"], F.lit("")).alias("db_label"),
         F.coalesce(task["db_config"]["version"], F.lit("")).alias("version"), task["db_config"]["note"].alias("note"),
         X.backend_name(task["db"], task["db_config"]["db_label"], task["db_config"]["version"]).alias("db_name"),
@@ -100,6 +106,7 @@ def flat_cases(files: DataFrame, change_units: bool = False) -> DataFrame:
         m["conc_num_list"].alias("conc_num_list"), *[m[c].alias(c) for c in CONCURRENT],
         m["st_ideal_insert_duration"].alias("st_ideal_insert_duration"),
         m["st_search_stage_list"].alias("st_search_stage_list"), *[m[c].alias(c) for c in STAGED])
+    return flat.join(run_headers(files).drop("files"), "run_id")
 
 
 def summary_metrics(m: Column) -> dict[str, Column]:
