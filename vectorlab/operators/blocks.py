@@ -11,8 +11,11 @@ NO_ID = np.iinfo(np.int64).max
 PAIR_BUDGET = 1 << 22
 
 
+BIT_METRICS = ("HAMMING", "JACCARD")
+
+
 def matrix(column: pa.Array, dtype=np.float64) -> np.ndarray:
-    """Rows of a list column as a matrix; all rows must have one length."""
+    """Rows of a list column as a matrix, in the type of the column when `dtype` is None."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     n = len(column)
@@ -24,7 +27,7 @@ def matrix(column: pa.Array, dtype=np.float64) -> np.ndarray:
     lengths = column.value_lengths().to_numpy(zero_copy_only=False)
     if lengths.min() != lengths.max():
         raise ValueError("vectors of different lengths in one batch")
-    return flat.astype(dtype, copy=False).reshape(n, -1)
+    return (flat if dtype is None else flat.astype(dtype, copy=False)).reshape(n, -1)
 
 
 def running_sum(terms: np.ndarray) -> np.ndarray:
@@ -39,60 +42,71 @@ def running_sum(terms: np.ndarray) -> np.ndarray:
 class Space:
     """How one metric is evaluated in blocks.
 
-    `coarse` is a matrix product with rounding error below `slack`; `exact` re-evaluates single
-    pairs in a fixed order. Rows that survive the coarse bound are ranked by the exact value.
-    `decode` (offset, step) turns scalar codes back into components.
+    `coarse` is a single-precision matrix product whose rounding error stays below `slack`;
+    `exact` re-evaluates single pairs in double precision in a fixed order. Rows that survive
+    the coarse bound are ranked by the exact value, so the answer is exact. `decode`
+    (offset, step) turns scalar codes back into components.
     """
 
     name: str
     queries: np.ndarray
     decode: tuple[np.ndarray, np.ndarray] | None = None
+    _single: np.ndarray | None = field(default=None, repr=False)
     _aux: np.ndarray | None = field(default=None, repr=False)
 
     def __post_init__(self):
-        if self.name in ("HAMMING", "JACCARD"):
-            self.queries = self._bits(self.queries)
+        if self.name in BIT_METRICS:
+            self.queries = self._single = self._bits(self.queries)
             self._aux = self.queries.sum(axis=1)
-        elif self.name != "PQ":
-            self.queries = np.asarray(self.queries, np.float64)
-            self._aux = np.einsum("ij,ij->i", self.queries, self.queries)
+            return
+        self.queries = np.asarray(self.queries, np.float64)
+        self._single = self.queries.astype(np.float32)
+        self._aux = np.einsum("ij,ij->i", self._single, self._single)
 
     @staticmethod
     def _bits(codes: np.ndarray) -> np.ndarray:
         return np.unpackbits(np.ascontiguousarray(codes).astype(np.int8).view(np.uint8), axis=1).astype(np.float32)
 
     def load(self, column: pa.Array) -> np.ndarray:
-        if self.name in ("HAMMING", "JACCARD"):
+        if self.name in BIT_METRICS:
             return self._bits(matrix(column, np.int8))
-        x = matrix(column, np.float64)
-        return x if self.decode is None else x * self.decode[1] + self.decode[0]
+        if self.decode is not None:
+            return matrix(column, np.float64) * self.decode[1] + self.decode[0]
+        return matrix(column, None)
 
     def coarse(self, rows: slice, x: np.ndarray) -> np.ndarray:
-        q, aux = self.queries[rows], self._aux[rows][:, None]
-        product = q @ x.T
-        if self.name in ("L2", "L2_SQUARED"):
-            return aux + np.einsum("ij,ij->i", x, x)[None, :] - 2.0 * product
+        single = x.astype(np.float32, copy=False)
+        aux = self._aux[rows][:, None]
+        product = self._single[rows] @ single.T
+        if self.name == "IP":
+            return np.negative(product, out=product)
+        if self.name in BIT_METRICS:
+            ones = aux + single.sum(axis=1)[None, :]
+            if self.name == "HAMMING":
+                return ones - 2.0 * product
+            with np.errstate(divide="ignore", invalid="ignore"):
+                return np.where(ones > 0, 1.0 - product.astype(np.float64) / (ones - product), 1.0)
+        sizes = np.einsum("ij,ij->i", single, single)
         if self.name == "COSINE":
-            size = np.sqrt(aux * np.einsum("ij,ij->i", x, x)[None, :])
+            size = np.sqrt(aux * sizes[None, :])
             with np.errstate(divide="ignore", invalid="ignore"):
                 value = 1.0 - product / size
             return np.where(size > 0, value, np.inf)
-        if self.name == "IP":
-            return -product
-        ones = aux + x.sum(axis=1)[None, :]
-        if self.name == "HAMMING":
-            return ones - 2.0 * product
-        with np.errstate(divide="ignore", invalid="ignore"):
-            return np.where(ones > 0, 1.0 - product.astype(np.float64) / (ones - product), 1.0)
+        product *= -2.0
+        product += aux
+        product += sizes[None, :]
+        return product
 
     def slack(self, rows: slice, x: np.ndarray) -> np.ndarray:
-        """Bound on the coarse rounding error of each query."""
-        if self.name in ("HAMMING", "JACCARD"):
-            return np.zeros(self.queries[rows].shape[0])
+        """Bound on the coarse rounding error of each query: (dim + 8) unit roundoffs per product."""
+        n = len(self._aux[rows])
+        if self.name in BIT_METRICS:
+            return np.zeros(n)
+        unit = (x.shape[1] + 8) * 2.0**-24
         if self.name == "COSINE":
-            return np.full(self.queries[rows].shape[0], 1e-11)
+            return np.full(n, 4 * unit)
         largest = float(np.einsum("ij,ij->i", x, x).max()) if len(x) else 0.0
-        return 1e-11 * (self._aux[rows] + largest)
+        return 2 * unit * (self._aux[rows].astype(np.float64) + largest)
 
     def as_coarse(self, dist: np.ndarray) -> np.ndarray:
         return dist * dist if self.name == "L2" else dist
@@ -102,7 +116,7 @@ class Space:
         step = max(1, PAIR_BUDGET // max(1, x.shape[1]))
         for lo in range(0, len(qi), step):
             part = slice(lo, lo + step)
-            out[part] = self._exact(self.queries[qi[part]], x[xi[part]])
+            out[part] = self._exact(self.queries[qi[part]], x[xi[part]].astype(np.float64, copy=False))
         return out
 
     def _exact(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -132,7 +146,7 @@ class CodeSpace(Space):
     def __init__(self, tables: np.ndarray):
         self.name = "PQ"
         self.queries = tables
-        self.decode = self._aux = None
+        self.decode = self._single = self._aux = None
 
     def load(self, column: pa.Array) -> np.ndarray:
         return matrix(column, np.int64)
@@ -180,11 +194,15 @@ class TopK:
     def _add_rows(self, rows, ids: np.ndarray, x: np.ndarray, distinct: bool = False) -> None:
         k = self.k
         coarse = self.space.coarse(rows, x)
-        limit = self.space.as_coarse(self.dist[rows, k - 1])
-        if coarse.shape[1] > k:
-            limit = np.minimum(limit, np.partition(coarse, k - 1, axis=1)[:, k - 1])
-        limit = limit + self.space.slack(rows, x)
-        qi, xi = np.nonzero(coarse <= limit[:, None])
+        slack = self.space.slack(rows, x)
+        limit = self.space.as_coarse(self.dist[rows, k - 1]) + slack
+        hits = coarse <= limit[:, None]
+        if coarse.shape[1] > k and np.count_nonzero(hits) > 4 * k * coarse.shape[0]:
+            # the task has no good bound yet, so the k-th best of this batch is one
+            tight = np.partition(coarse, k - 1, axis=1)[:, k - 1]
+            hits = coarse <= np.minimum(limit, tight + slack)[:, None]
+        flat = np.flatnonzero(hits)
+        qi, xi = np.divmod(flat, coarse.shape[1])
         if not distinct and len(qi) > 8 * k * coarse.shape[0]:
             keep = _k_copies(ids, x, k)
             if len(keep) < len(ids):

@@ -70,17 +70,22 @@ def over_query_blocks(queries: DataFrame, k: int, scan: Callable[[QueryBlock], D
     driver nor a task ever holds more than one block.
     """
     spark = queries.sparkSession
-    blocks, n = query_blocks(queries, k, tables=tables)
-    if n == 0:
-        return spark.createDataFrame([], RESULT)
-    if blocks == 1:
-        return scan(QueryBlock.fetch(queries))
-    path = scratch_path(spark, "answers")
-    for b in range(blocks):
-        block = QueryBlock.fetch(queries.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b))
-        if len(block.ids):
-            scan(block).write.mode("append").parquet(path)
-    return spark.read.schema(RESULT).parquet(path)
+    # sized and then fetched, so that an expensive query set is computed once
+    cached = queries.persist()
+    try:
+        blocks, n = query_blocks(cached, k, tables=tables)
+        if n == 0:
+            return spark.createDataFrame([], RESULT)
+        if blocks == 1:
+            return scan(QueryBlock.fetch(cached))
+        path = scratch_path(spark, "answers")
+        for b in range(blocks):
+            block = QueryBlock.fetch(cached.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b))
+            if len(block.ids):
+                scan(block).write.mode("append").parquet(path)
+        return spark.read.schema(RESULT).parquet(path)
+    finally:
+        cached.unpersist()
 
 
 def scan_corpus(corpus: DataFrame, ids: np.ndarray, space: Space, k: int,

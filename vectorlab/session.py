@@ -14,7 +14,7 @@ BROADCAST_BYTES_DEFAULT = 64 * 1024 * 1024
 
 # Upper bound on the tasks of a top-k scan; each task sends at most k rows per query on.
 SCAN_TASKS_KEY = "vectorlab.scan.maxTasks"
-SCAN_TASKS_FLOOR = 2048
+SCAN_TASKS_FLOOR = 8192
 
 
 def build_session(app: str = "vectorlab", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
