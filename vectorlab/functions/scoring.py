@@ -31,12 +31,12 @@ def ideal_dcg(k: Column) -> Column:
 
 
 def set_ndcg_at(truth: Column, got: Column, k: int) -> Column:
-    """NDCG with the gain of an answer taken from its true rank; answer order has no effect."""
-    top = truncated(truth, k)
-
-    def gain(x: Column) -> Column:
-        place = F.array_position(top, x)
-        return F.when(place > 0, F.lit(1.0) / F.log2(place + 1)).otherwise(F.lit(0.0))
-
-    dcg = F.aggregate(distinct_ids(got), F.lit(0.0).cast("double"), lambda total, x: total + gain(x))
+    """NDCG with the gain of an answer taken from its true rank; answer order has no effect.
+
+    Gains are added in true-rank order, so a full answer scores exactly 1.
+    """
+    answers = distinct_ids(got)
+    gains = F.transform(truncated(truth, k), lambda x, i: F.when(
+        F.array_contains(answers, x), F.lit(1.0) / F.log2(i + 2)).otherwise(F.lit(0.0)))
+    dcg = F.aggregate(gains, F.lit(0.0).cast("double"), lambda total, gain: total + gain)
     return dcg / ideal_dcg(F.lit(k))

@@ -182,6 +182,9 @@ class TopK:
         """Take one batch, against all queries or a subset of query positions."""
         if len(ids) == 0:
             return
+        if x.shape[1] != self.space.queries.shape[1]:
+            raise ValueError(f"vectors of different lengths: {x.shape[1]} in the corpus, "
+                             f"{self.space.queries.shape[1]} in the queries")
         if subset is not None:
             for lo in range(0, len(subset), 256):
                 self._add_rows(subset[lo : lo + 256], ids, x)

@@ -94,7 +94,7 @@ def split_by_dimension(df: DataFrame, dim: int, emb: str = "emb") -> tuple[DataF
 
 def require_dimension(emb: Column, dim: int) -> Column:
     """The vector itself, or an error that names the wrong length."""
-    message = F.concat(F.lit(f"vector length is not {dim}: "), F.size(emb).cast("string"))
+    message = F.concat(F.lit(f"vector length is not {dim}: "), F.coalesce(F.size(emb).cast("string"), F.lit("no vector")))
     return F.when(F.size(emb) == dim, emb).otherwise(F.raise_error(message))
 
 
