@@ -92,7 +92,7 @@ def test_merge_runs(spark):
     got = {r["case_name"]: (r["qps"], r["seq"], r["status"]) for r in A.merge_runs(df, ["db_name", "case_name"]).collect()}
     assert got == {"c": (9.0, 3, ":)"), "d": (0.0, 5, "?")}
     failed = A.failed_backends(A.merge_runs(df, ["db_name", "case_name"])).collect()
-    assert [(r["case_name"], r["status"], r["backends"]) for r in failed] == [("d", "?", ["a"])]
+    assert [(r["case_name"], r["status"], r["db_name"]) for r in failed] == [("d", "?", "a")]
 
 
 def test_prices(spark, tmp_path):

@@ -35,9 +35,8 @@ def merge_runs(rows: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
 
 
 def failed_backends(merged: DataFrame, case: str = "case_name", db: str = "db_name") -> DataFrame:
-    """Backends without a normal run, per case and status."""
-    return (merged.filter(F.col("status") != X.NORMAL).groupBy(case, "status")
-            .agg(F.array_sort(F.collect_set(db)).alias("backends")))
+    """Backends without a normal run, one row per case, status and backend, in that order."""
+    return merged.filter(F.col("status") != X.NORMAL).select(case, "status", db).distinct().orderBy(case, "status", db)
 
 
 def distinct_values(rows: DataFrame, *columns: str) -> DataFrame:

@@ -157,7 +157,10 @@ def decode_scalar(codes: Column, lo: np.ndarray, step: np.ndarray) -> Column:
 
 def fit_codebooks(df: DataFrame, m: int, nbits: int = 8, emb: str = "emb", fraction: float = 1.0, seed: int = 7,
                   iterations: int = 10) -> np.ndarray:
-    """(m, 2^nbits, dim/m) codebooks by k-means per sub-space on a training share of the corpus."""
+    """(m, 2^nbits, dim/m) codebooks by k-means per sub-space on a training share of the corpus.
+
+    A training share is kept between the sub-spaces; the whole corpus is scanned again for each.
+    """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
@@ -165,7 +168,7 @@ def fit_codebooks(df: DataFrame, m: int, nbits: int = 8, emb: str = "emb", fract
     if dim % m:
         raise ValueError(f"{m} sub-vectors do not divide {dim} dimensions")
     width = dim // m
-    train = df if fraction >= 1.0 else df.sample(fraction=fraction, seed=seed)
+    train = df if fraction >= 1.0 else df.sample(fraction=fraction, seed=seed).persist()
     books = []
     for s in range(m):
         part = train.select(array_to_vector(F.slice(F.col(emb).cast("array<double>"), s * width + 1, width)).alias("features"))
@@ -173,6 +176,8 @@ def fit_codebooks(df: DataFrame, m: int, nbits: int = 8, emb: str = "emb", fract
         # fewer centres than codes when the share has few distinct rows: repeat the first
         missing = 2**nbits - len(centers)
         books.append(np.vstack([centers, np.repeat(centers[:1], missing, axis=0)]) if missing else centers)
+    if fraction < 1.0:
+        train.unpersist()
     return np.stack(books)
 
 

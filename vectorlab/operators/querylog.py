@@ -35,11 +35,12 @@ def run_scores(scores: DataFrame) -> DataFrame:
 
 def serial_latency(log: DataFrame) -> DataFrame:
     """Mean, total, p95 and p99 latency of a log, to four decimals."""
-    totals = log.agg(F.avg("latency").alias("avg"), F.sum("latency").alias("total"), F.count("latency").alias("n"))
-    tails = percentile_columns(log, [], "latency", {"p95": 0.95, "p99": 0.99})
-    one = F.lit(1)
-    return (totals.withColumn("_one", one).join(tails.withColumn("_one", one), "_one", "left")
-            .select("n", *[round4(F.col(c)).alias(c) for c in ("avg", "total", "p95", "p99")]))
+    names = {"p95": 0.95, "p99": 0.99}
+    totals = log.agg(F.count("latency").alias("n"), F.avg("latency").alias("avg"), F.sum("latency").alias("total"))
+    tails = percentile_columns(log, [], "latency", names)
+    # two one-row tables put side by side without a join
+    both = totals.unionByName(tails, allowMissingColumns=True)
+    return both.agg(F.max("n").alias("n"), *[round4(F.max(c)).alias(c) for c in ("avg", "total", *names)])
 
 
 def latency_by_concurrency(log: DataFrame, levels: DataFrame | None = None, recall: str | None = None) -> DataFrame:

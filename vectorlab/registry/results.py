@@ -312,21 +312,22 @@ def best_run(spark, sf):
     return A.merge_runs(run_rows(spark, sf), ["db_name", "case_name"]).select("db_name", "case_name", r6("qps", "qps"), "seq")
 
 
-_PER_CUST = f"""b AS (SELECT o_custkey AS db_name, o_orderstatus AS case_name, o_totalprice AS qps, o_orderkey AS seq,
-CASE WHEN o_orderkey % 2 = 0 THEN 'x' WHEN o_orderkey % 3 = 0 THEN '?' ELSE ':)' END AS status FROM orders),
+# 200 backends; a third of them never have a normal run
+BACKEND = "concat(o_orderpriority, '-', o_custkey % 40)"
+RUN_STATUS = "CASE WHEN o_custkey % 40 % 3 <> 0 AND o_orderkey % 4 = 0 THEN ':)' WHEN o_orderkey % 2 = 0 THEN 'x' ELSE '?' END"
+_BY_BACKEND = f"""b AS (SELECT {BACKEND} AS db_name, o_orderstatus AS case_name, o_totalprice AS qps, o_orderkey AS seq, {RUN_STATUS} AS status FROM orders),
 mg AS (SELECT db_name, case_name, CASE WHEN bool_or(status = ':)') THEN ':)' ELSE arg_max(status, seq) END AS status FROM b GROUP BY 1, 2)"""
 
 
-def _per_customer(spark, sf):
+def _by_backend(spark, sf):
     return orders(spark, sf).select(
-        F.col("o_custkey").alias("db_name"), F.col("o_orderstatus").alias("case_name"), F.col("o_totalprice").alias("qps"),
-        F.col("o_orderkey").alias("seq"),
-        F.expr("CASE WHEN o_orderkey % 2 = 0 THEN 'x' WHEN o_orderkey % 3 = 0 THEN '?' ELSE ':)' END").alias("status"))
+        F.expr(BACKEND).alias("db_name"), F.col("o_orderstatus").alias("case_name"), F.col("o_totalprice").alias("qps"),
+        F.col("o_orderkey").alias("seq"), F.expr(RUN_STATUS).alias("status"))
 
 
-@query("a16_best_status", f"WITH {_PER_CUST} SELECT db_name, case_name, status FROM mg")
+@query("a16_best_status", f"WITH {_BY_BACKEND} SELECT db_name, case_name, status FROM mg")
 def best_status(spark, sf):
-    return A.merge_runs(_per_customer(spark, sf), ["db_name", "case_name"]).select("db_name", "case_name", "status")
+    return A.merge_runs(_by_backend(spark, sf), ["db_name", "case_name"]).select("db_name", "case_name", "status")
 
 
 def _better(lower: bool):
@@ -346,11 +347,9 @@ query("a17_better_of_two_lower", _better_sql("least"))(_better(True))
 query("a17_better_of_two_higher", _better_sql("greatest"))(_better(False))
 
 
-@query("a18_failed_backends", f"WITH {_PER_CUST} SELECT case_name, status, count(*) AS n, string_agg(db_name::VARCHAR, ',' ORDER BY db_name) AS backends FROM mg WHERE status <> ':)' GROUP BY 1, 2")
+@query("a18_failed_backends", f"WITH {_BY_BACKEND} SELECT case_name, status, db_name FROM mg WHERE status <> ':)'")
 def failed_backends(spark, sf):
-    f = A.failed_backends(A.merge_runs(_per_customer(spark, sf), ["db_name", "case_name"]))
-    return f.select("case_name", "status", F.size("backends").cast("bigint").alias("n"),
-                    F.array_join(F.col("backends").cast("array<string>"), ",").alias("backends"))
+    return A.failed_backends(A.merge_runs(_by_backend(spark, sf), ["db_name", "case_name"]))
 
 
 @query("a19_distinct_lists", "SELECT DISTINCT o_orderpriority, o_orderstatus FROM orders")

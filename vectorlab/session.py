@@ -25,6 +25,8 @@ def build_session(app: str = "vectorlab", master: str | None = None, shuffle_par
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # methods above 8000 bytes are not compiled by the JVM; wide result rows run faster split up
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
