@@ -104,7 +104,10 @@ value / 1000 AS latency, event_id % 17 <> 0 AS ok, (event_id % 11) / 10.0::DOUBL
 
 
 def log(spark, sf):
-    """The events table as a query log."""
+    """The events table as a query log.
+
+    Interpolated latencies have up to seven decimals, so they are compared to nine.
+    """
     e = table(spark, sf, "events")
     return e.select(
         F.expr(f"cast({CONC} as bigint)").alias("conc"), (F.col("event_id") % 10).alias("qid"),
@@ -124,15 +127,15 @@ done AS (SELECT * FROM log), st AS (SELECT conc, quantile_cont(latency, 0.99) AS
 quantile_cont(latency, 0.90) AS p90, avg(latency) AS av, avg(recall) AS recall FROM done GROUP BY conc)"""
 
 
-@query("a6_latency_by_concurrency", f"""{_BY_CONC} SELECT conc, round(coalesce(p99, -1), 6) AS latency_p99, round(coalesce(p95, -1), 6) AS latency_p95,
-round(coalesce(p90, -1), 6) AS latency_p90, round(coalesce(av, -1), 6) AS latency_avg, round(coalesce(recall, 0), 6) AS recall
+@query("a6_latency_by_concurrency", f"""{_BY_CONC} SELECT conc, round(coalesce(p99, -1), 9) AS latency_p99, round(coalesce(p95, -1), 9) AS latency_p95,
+round(coalesce(p90, -1), 9) AS latency_p90, round(coalesce(av, -1), 9) AS latency_avg, round(coalesce(recall, 0), 6) AS recall
 FROM levels LEFT JOIN st USING (conc)""")
 def latency_by_concurrency(spark, sf):
     """Level 50 has no request; its NaN latencies are shown as -1."""
     rows = log(spark, sf)
     levels = rows.select("conc").distinct().unionByName(spark.range(1).select(F.lit(50).cast("bigint").alias("conc")))
     found = QL.latency_by_concurrency(rows, levels, "recall")
-    return found.select("conc", *[r6(F.nanvl(F.col(c), F.lit(-1.0)), c)
+    return found.select("conc", *[F.round(F.nanvl(F.col(c), F.lit(-1.0)), 9).alias(c)
                                   for c in ("latency_p99", "latency_p95", "latency_p90", "latency_avg")], r6("recall", "recall"))
 
 
@@ -193,12 +196,12 @@ def loaded_rows(spark, sf):
 @query("e2_score_log", f"""WITH {LOG_SQL}, d AS (SELECT conc, count(*) AS n, quantile_cont(latency, 0.99) AS p99, quantile_cont(latency, 0.95) AS p95,
 quantile_cont(latency, 0.9) AS p90, avg(latency) AS av, avg(recall) AS recall, count(*) / (max(start + latency) - min(start)) AS qps FROM log WHERE ok GROUP BY conc),
 f AS (SELECT conc, count(*) FILTER (NOT ok) / count(*) AS failed_rate FROM log GROUP BY conc)
-SELECT conc, n, round(p99, 6) AS latency_p99, round(p95, 6) AS latency_p95, round(p90, 6) AS latency_p90, round(av, 6) AS latency_avg,
+SELECT conc, n, round(p99, 9) AS latency_p99, round(p95, 9) AS latency_p95, round(p90, 9) AS latency_p90, round(av, 9) AS latency_avg,
 round(recall, 6) AS recall, round_even(qps, 4) AS qps, round(failed_rate, 6) AS failed_rate FROM d JOIN f USING (conc)""")
 def score_log(spark, sf):
     s = QL.score_log(log(spark, sf))
-    return s.select("conc", "n", "qps", *[r6(c, c) for c in (
-        "latency_p99", "latency_p95", "latency_p90", "latency_avg", "recall", "failed_rate")])
+    return s.select("conc", "n", "qps", r6("recall", "recall"), r6("failed_rate", "failed_rate"),
+                    *[F.round(c, 9).alias(c) for c in ("latency_p99", "latency_p95", "latency_p90", "latency_avg")])
 
 
 @query("a5_percentiles_per_user", """SELECT user_id, count(*) AS n, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95,
