@@ -413,11 +413,11 @@ def leaderboard_predicate(spark, sf):
 
 
 @query("e6_leaderboard", f"""WITH {_BOARD} SELECT lb.db, lb.db_label, db_name, case_name, round(qps, 6) AS qps, round(latency, 6) AS latency, round(recall, 6) AS recall, label, version,
-round(CASE WHEN coalesce(price, 0) > 0 THEN qps / price * 3600 ELSE 0 END, 4) AS qpd FROM lb LEFT JOIN pr ON pr.db = lb.db AND pr.db_label = lb.db_label""")
+round(CASE WHEN coalesce(price, 0) > 0 THEN qps / price * 3600 ELSE 0 END, 2) AS qpd FROM lb LEFT JOIN pr ON pr.db = lb.db AND pr.db_label = lb.db_label""")
 def leaderboard(spark, sf):
     b = A.leaderboard(_flat_named(spark, sf), prices(spark, sf), list(CS.CAPACITY_CASES), {"5-LOW": _DAY})
     return b.select("db", "db_label", "db_name", "case_name", r6("qps", "qps"), r6("latency", "latency"), r6("recall", "recall"),
-                    F.col("label").cast("bigint").alias("label"), "version", F.round("qp$", 4).alias("qpd"))
+                    F.col("label").cast("bigint").alias("label"), "version", F.round("qp$", 2).alias("qpd"))
 
 
 @query("s17_leaderboard_file", f"WITH {_BOARD} SELECT db, count(*) AS n, round(sum(qps), 3) AS qps FROM lb GROUP BY 1")
@@ -624,11 +624,11 @@ def thousand_queries_per_dollar(spark, sf):
     return A.dollar_chart(rows, prices(spark, sf)).select("o_orderkey", r6("qpd", "qpd"))
 
 
-@query("m12_queries_per_dollar", f"""WITH {_PRICE_SQL} SELECT o_orderkey, round(CASE WHEN coalesce(price, 0) > 0 THEN o_totalprice / price * 3600 ELSE 0 END, 4) AS qpd FROM orders LEFT JOIN pr ON pr.db = o_orderpriority AND pr.db_label = o_orderstatus""")
+@query("m12_queries_per_dollar", f"""WITH {_PRICE_SQL} SELECT o_orderkey, round(CASE WHEN coalesce(price, 0) > 0 THEN o_totalprice / price * 3600 ELSE 0 END, 2) AS qpd FROM orders LEFT JOIN pr ON pr.db = o_orderpriority AND pr.db_label = o_orderstatus""")
 def queries_per_dollar(spark, sf):
     rows = orders(spark, sf).select("o_orderkey", F.col("o_orderpriority").alias("db"), F.col("o_orderstatus").alias("db_label"), F.col("o_totalprice").alias("qps"))
     priced = A.with_price(rows, prices(spark, sf))
-    return priced.select("o_orderkey", F.round(N.queries_per_dollar(F.col("qps"), F.col("price")), 4).alias("qpd"))
+    return priced.select("o_orderkey", F.round(N.queries_per_dollar(F.col("qps"), F.col("price")), 2).alias("qpd"))
 
 
 @query("m14_status_codes", f"SELECT o_orderkey, CASE {STATUS} WHEN ':)' THEN 1 WHEN 'x' THEN -1 ELSE -2 END::BIGINT AS code FROM orders")
