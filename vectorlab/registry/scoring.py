@@ -10,7 +10,6 @@ from ..operators import frontier as FR
 from ..operators import percentiles as P
 from ..operators import quantise as QZ
 from ..operators import querylog as QL
-from ..operators import running as R
 from ..operators import search as S
 from ..plans.performance import Flat, run_case
 from ..session import scratch_path

@@ -13,7 +13,7 @@ from ..operators import vectors as VV
 from ..plans import ivf
 from ..session import scratch_path
 from ..sources import corpus as SRC
-from .base import C, COS, IP, L2, Q, SC, answer, corpus, profiles, query, r6, scaled, table, top_sql
+from .base import C, COS, IP, L2, Q, SC, answer, corpus, profiles, query, r6, scaled, top_sql
 
 
 def _total(v):
