@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from vectorlab.llm import exact_dedup, simhash
+from vectorlab.llm import decontaminate, exact_dedup, packing, simhash, toxicity
+from vectorlab.llm.common import table
 from vectorlab.session import materialise
 
 
+def without_toxic(spark, docs, sf_dir):
+    """Documents scored as toxic go; the labels outside the held-out fold teach the model."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def without_copies(spark, docs, sf_dir):
     """Of equal texts the document with the smallest id stays."""
     return exact_dedup.drop_exact_duplicates(docs)
@@ -16,7 +22,18 @@ def without_near_copies(spark, docs, sf_dir):
     return simhash.drop_near_duplicates(docs)
 
 
-STAGES = [("exact dedup", without_copies), ("simhash near-dedup", without_near_copies)]
+def without_benchmark(spark, docs, sf_dir):
+    """Documents that hold a window of a benchmark item go."""
+    return decontaminate.remove_matches(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark, docs, sf_dir):
+    """What is left, in sequences of 4096 tokens: one row per piece."""
+    return packing.pack(docs)
+
+
+STAGES = [("toxicity", without_toxic), ("exact dedup", without_copies), ("simhash near-dedup", without_near_copies),
+          ("benchmark decontamination", without_benchmark), ("best-fit packing", packed)]
 
 ORACLE_SQL = None
 

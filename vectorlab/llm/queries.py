@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import common as C
-from . import exact_dedup, simhash
+from . import decontaminate, exact_dedup, packing, simhash, toxicity
 
 
 def _documents(spark, sf_dir):
@@ -18,11 +18,40 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op6_exact_dedup)}
+def op7_toxicity(spark, sf_dir):
+    return toxicity.toxicity(_documents(spark, sf_dir), C.table(spark, sf_dir, "labels"))
+
+
+def op8_packing(spark, sf_dir):
+    return packing.pack(_documents(spark, sf_dir))
+
+
+def op10_decontamination(spark, sf_dir):
+    return decontaminate.contamination(_documents(spark, sf_dir), C.table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op6_exact_dedup, op7_toxicity, op8_packing, op10_decontamination)}
 
 ORACLES = {
     "op6_exact_dedup": r"""
         WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
         FROM t WINDOW w AS (PARTITION BY text_sha256)""",
+    "op10_decontamination": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        bw AS (SELECT item_id, least(len(w), 10) AS n, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM b WHERE len(w) > 0),
+        win AS (SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS s FROM bw),
+        sizes AS (SELECT DISTINCT n FROM win),
+        dp AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d),
+        dw AS (SELECT doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') AS s FROM dp, sizes WHERE p + n - 1 <= len(w)),
+        m AS (SELECT doc_id, p, dw.n, item_id FROM dw JOIN win ON dw.n = win.n AND dw.s = win.s),
+        h AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM m) GROUP BY doc_id),
+        i AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+              FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM m) GROUP BY doc_id)
+        SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN i ON d.doc_id = i.doc_id""",
 }
