@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import common as C
-from . import decontaminate, exact_dedup, packing, simhash, toxicity
+from . import decontaminate, exact_dedup, html_text, license_scan, packing, simhash, toxicity
 
 
 def _documents(spark, sf_dir):
@@ -14,6 +14,10 @@ def op1_simhash(spark, sf_dir):
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
 
+def op4_license_scan(spark, sf_dir):
+    return license_scan.licences(_documents(spark, sf_dir))
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(_documents(spark, sf_dir))
 
@@ -26,13 +30,19 @@ def op8_packing(spark, sf_dir):
     return packing.pack(_documents(spark, sf_dir))
 
 
+def op9_html_extraction(spark, sf_dir):
+    return html_text.extract(C.table(spark, sf_dir, "pages"))
+
+
 def op10_decontamination(spark, sf_dir):
     return decontaminate.contamination(_documents(spark, sf_dir), C.table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op6_exact_dedup, op7_toxicity, op8_packing, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (
+    op1_simhash, op4_license_scan, op6_exact_dedup, op7_toxicity, op8_packing, op9_html_extraction, op10_decontamination)}
 
 ORACLES = {
+    "op4_license_scan": license_scan.sql(),
     "op6_exact_dedup": r"""
         WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
