@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 DEFAULT = "word_bpe_49k.json"
 #: Words kept per worker; when full, the store is emptied. This changes speed only.
-KEPT = 700_000
+KEPT = 1_000_000
 #: Marks, a core of ASCII or Latin-1 letters, marks: the tokenizer splits such a word just there.
 PLAIN = re.compile(rb"([!-&(-/:-@\[-`{-~]*)((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
 
@@ -25,17 +25,29 @@ def tokenizer_path(name: str = DEFAULT) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if printable, else the next of U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class _Words(dict):
     """Ids of a lower-cased word as little-endian unsigned 32-bit numbers; unseen words are encoded."""
 
-    def __init__(self, encode):
+    def __init__(self, model: Tokenizer):
         super().__init__()
-        self.encode, self.cores = encode, {b"": b""}
+        self.model, self.merges, self.letters, self.parts = model, model.model, byte_letters(), {b"": b""}
+
+    def encode(self, data: bytes) -> bytes:
+        return np.array(self.model.encode(data.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
 
     def _part(self, part: bytes) -> bytes:
-        ids = self.cores.get(part)
+        """Ids of a run of letters or of marks, which goes to the merges as it is."""
+        ids = self.parts.get(part)
         if ids is None:
-            ids = self.cores[part] = self.encode(part)
+            text = part.decode("ascii") if part.isascii() else part.decode().lower().encode().decode("latin-1").translate(self.letters)
+            ids = self.parts[part] = np.array([t.id for t in self.merges.tokenize(text)], "<u4").tobytes()
         return ids
 
     def __missing__(self, word: bytes) -> bytes:
@@ -47,8 +59,8 @@ class _Words(dict):
     def trim(self) -> None:
         if len(self) > KEPT:
             self.clear()
-        if len(self.cores) > KEPT:
-            self.cores = {b"": b""}
+        if len(self.parts) > KEPT:
+            self.parts = {b"": b""}
 
 
 class TextTokenizer:
@@ -56,15 +68,12 @@ class TextTokenizer:
         self.model = Tokenizer.from_file(path)
         added = [t.content for t in self.model.get_added_tokens_decoder().values()]
         self.marks = [m.encode() for m in added]
-        self.words = _Words(self._ids)
-
-    def _ids(self, data: bytes) -> bytes:
-        return np.array(self.model.encode(data.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+        self.words = _Words(self.model)
 
     def ids(self, data: bytes) -> bytes:
         """Ids of a UTF-8 text, 4 bytes each, without special tokens."""
         if any(m in data for m in self.marks):
-            return self._ids(data)
+            return self.words.encode(data)
         ids = b"".join(map(self.words.__getitem__, data.lower().split()))
         self.words.trim()
         return ids
