@@ -1,6 +1,7 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Features of a text: its distinct words, pairs of neighbours and pairs around one word, hashed to DIMENSIONS.
+Features of a text: its distinct words, their stems (the first STEM bytes of longer words), pairs of neighbours and
+pairs around one word, hashed to DIMENSIONS.
 Learning: per-coordinate FTRL-proximal with L1, over at most EXAMPLES labelled rows (those with the smallest
 hash of their id, so the same at any partitioning), EPOCHS times in one task whose input that bound limits.
 L1 leaves a few thousand weights, at most DIMENSIONS, which are broadcast to score all texts where they are read.
@@ -24,6 +25,7 @@ from pyspark.sql import types as T
 from . import common as C
 
 DIMENSIONS = 1 << 20
+STEM = 5
 EXAMPLES, EPOCHS = 20_000, 2
 ALPHA, BETA, L1, L2 = 0.1, 1.0, 1.0, 1.0
 THRESHOLD = 0.3
@@ -37,7 +39,8 @@ def features(data: bytes) -> np.ndarray:
     words = data.translate(WORDS).split()
     h = np.fromiter(map(xxhash.xxh32_intdigest, words), np.uint32, len(words))
     pairs, skips = (h[:-1] * PAIR ^ h[1:]) * MIX, (h[:-2] * SKIP ^ h[2:]) * MIX
-    every = np.concatenate([h, pairs ^ pairs >> np.uint32(15), skips ^ skips >> np.uint32(13)])
+    stems = np.fromiter((xxhash.xxh32_intdigest(w[:STEM], 1) for w in words if len(w) > STEM), np.uint32)
+    every = np.concatenate([h, stems, pairs ^ pairs >> np.uint32(15), skips ^ skips >> np.uint32(13)])
     return np.unique(every % np.uint32(DIMENSIONS - 1)) + 1
 
 
