@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from ..session import scratch_path
 from . import common as C
-from . import decontaminate, exact_dedup, html_text, license_scan, packing, simhash, toxicity
+from . import decontaminate, exact_dedup, html_text, license_scan, packing, simhash, toxicity, training_order
 
 
 def _documents(spark, sf_dir):
@@ -14,6 +15,10 @@ def op1_simhash(spark, sf_dir):
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
 
+def op2_training_order(spark, sf_dir):
+    return training_order.training_order(_documents(spark, sf_dir), scratch_path(spark, "training-order"))
+
+
 def op4_license_scan(spark, sf_dir):
     return license_scan.licences(_documents(spark, sf_dir))
 
@@ -39,7 +44,7 @@ def op10_decontamination(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash, op4_license_scan, op6_exact_dedup, op7_toxicity, op8_packing, op9_html_extraction, op10_decontamination)}
+    op1_simhash, op2_training_order, op4_license_scan, op6_exact_dedup, op7_toxicity, op8_packing, op9_html_extraction, op10_decontamination)}
 
 ORACLES = {
     "op4_license_scan": license_scan.sql(),
