@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..session import scratch_path
 from . import common as C
-from . import decontaminate, exact_dedup, html_text, license_scan, mixing, packing, simhash, toxicity, training_order
+from . import decontaminate, exact_dedup, html_text, license_scan, mixing, packing, simhash, suffix_dedup, toxicity, training_order
 
 
 def _documents(spark, sf_dir):
@@ -27,6 +27,10 @@ def op4_license_scan(spark, sf_dir):
     return license_scan.licences(_documents(spark, sf_dir))
 
 
+def op5_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(_documents(spark, sf_dir))
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(_documents(spark, sf_dir))
 
@@ -48,7 +52,8 @@ def op10_decontamination(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash, op2_training_order, op3_lm_scoring, op4_license_scan, op6_exact_dedup, op7_toxicity, op8_packing, op9_html_extraction, op10_decontamination)}
+    op1_simhash, op2_training_order, op3_lm_scoring, op4_license_scan, op5_suffix_dedup, op6_exact_dedup, op7_toxicity, op8_packing,
+    op9_html_extraction, op10_decontamination)}
 
 ORACLES = {
     "op4_license_scan": license_scan.sql(),
