@@ -96,6 +96,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     rows = docs.select(F.col(doc_id).alias("id"), C.text_bytes(text).alias("data")).join(F.broadcast(chosen), "id")
     rows = rows.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id", F.xxhash64("data"))
     found = rows.select("data", "toxic").mapInArrow(lambda batches: _fit(batches, epochs), "at bigint, w double").toArrow()
+    if not found.num_rows:  # no labels at all
+        return {"at": np.array([0]), "w": np.array([-35.0])}
     return {"at": found["at"].to_numpy(), "w": found["w"].to_numpy()}
 
 
