@@ -7,7 +7,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from vectorlab.session import build_session  # noqa: E402
+from vectorlab.session import build_session, ship_package  # noqa: E402
 
 TESTDATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,6 +16,7 @@ TESTDATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark():
     session = build_session("tests", "local[8]", 4)
     session.sparkContext.setLogLevel("ERROR")
+    ship_package(session)
     yield session
     session.stop()
 

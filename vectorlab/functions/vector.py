@@ -36,8 +36,8 @@ def norm(a: Column) -> Column:
 
 def normalise(vec: Column) -> Column:
     """Unit-length vector; a zero vector gives null components instead of an error."""
-    v = as_double(vec)
-    return F.transform(v, lambda x: F.try_divide(x, norm(vec)))
+    # the norm is bound once, or it would be computed anew for every component
+    return F.transform(F.array(norm(vec)), lambda n: F.transform(as_double(vec), lambda x: F.try_divide(x, n)))[0]
 
 
 def l2_squared(a: Column, b: Column) -> Column:

@@ -105,8 +105,10 @@ class Space:
         unit = (x.shape[1] + 8) * 2.0**-24
         if self.name == "COSINE":
             return np.full(n, 4 * unit)
-        largest = float(np.einsum("ij,ij->i", x, x).max()) if len(x) else 0.0
-        return 2 * unit * (self._aux[rows].astype(np.float64) + largest)
+        square = np.einsum("ij,ij->i", x, x)
+        largest = float(square[np.isfinite(square)].max(initial=0.0))
+        bound = 2 * unit * (self._aux[rows].astype(np.float64) + largest)
+        return np.where(np.isfinite(bound), bound, np.inf)
 
     def as_coarse(self, dist: np.ndarray) -> np.ndarray:
         return dist * dist if self.name == "L2" else dist
@@ -117,7 +119,7 @@ class Space:
         for lo in range(0, len(qi), step):
             part = slice(lo, lo + step)
             out[part] = self._exact(self.queries[qi[part]], x[xi[part]].astype(np.float64, copy=False))
-        return out
+        return np.where(np.isnan(out), np.inf, out)  # a missing distance comes last
 
     def _exact(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         if self.name in ("L2", "L2_SQUARED"):
@@ -197,13 +199,15 @@ class TopK:
     def _add_rows(self, rows, ids: np.ndarray, x: np.ndarray, distinct: bool = False) -> None:
         k = self.k
         coarse = self.space.coarse(rows, x)
+        coarse = np.where(np.isnan(coarse), np.inf, coarse)
         slack = self.space.slack(rows, x)
         limit = self.space.as_coarse(self.dist[rows, k - 1]) + slack
         hits = coarse <= limit[:, None]
         if coarse.shape[1] > k and np.count_nonzero(hits) > 4 * k * coarse.shape[0]:
-            # the task has no good bound yet, so the k-th best of this batch is one
+            # the task has no good bound yet, so the k-th best of this batch is one; its coarse value and
+            # that of the row to keep may each be off by the slack
             tight = np.partition(coarse, k - 1, axis=1)[:, k - 1]
-            hits = coarse <= np.minimum(limit, tight + slack)[:, None]
+            hits = coarse <= np.minimum(limit, tight + 2 * slack)[:, None]
         flat = np.flatnonzero(hits)
         qi, xi = np.divmod(flat, coarse.shape[1])
         if not distinct and len(qi) > 8 * k * coarse.shape[0]:

@@ -14,9 +14,10 @@ from .percentiles import percentile_columns
 
 
 def per_query_scores(answers: DataFrame, truth: DataFrame, k: int) -> DataFrame:
-    """(qid, recall, ndcg) from `answers(qid, ids)` and `truth(id, neighbors_id)`."""
+    """(qid, recall, ndcg) of every query in `truth(id, neighbors_id)`; one without a row in `answers(qid, ids)` scores 0."""
     t = truth.select(F.col("id").alias("qid"), F.col("neighbors_id").alias("truth"))
-    return answers.join(t, "qid").select(
+    none = F.array().cast(answers.schema["ids"].dataType)
+    return t.join(answers, "qid", "left").withColumn("ids", F.coalesce("ids", none)).select(
         "qid", recall_at(F.col("truth"), F.col("ids"), k).alias("recall"),
         set_ndcg_at(F.col("truth"), F.col("ids"), k).alias("ndcg"))
 
@@ -112,4 +113,5 @@ def score_log(log: DataFrame, levels: DataFrame | None = None) -> DataFrame:
     recall = "recall" if "recall" in log.columns else None
     return (latency_by_concurrency(done, levels, recall)
             .join(throughput(done).select("conc", "n", "qps"), "conc", "left")
-            .join(failures(log).select("conc", "failed_rate"), "conc", "left"))
+            .join(failures(log).select("conc", "failed_rate"), "conc", "left")
+            .withColumns({"n": F.coalesce("n", F.lit(0)), "qps": F.coalesce("qps", F.lit(0.0))}))

@@ -57,7 +57,7 @@ def ndcg_per_query(spark, sf):
     return QL.per_query_scores(got_lists(spark, sf), truth_lists(spark, sf), K).select("qid", r6("ndcg", "ndcg"))
 
 
-@query("a4_run_scores", f"{_LISTS} SELECT round_even(avg(recall), 4) AS recall, round_even(avg(ndcg), 4) AS ndcg FROM sc")
+@query("a4_run_scores", f"{_LISTS} SELECT round_even(round(avg(recall), 12), 4) AS recall, round_even(round(avg(ndcg), 12), 4) AS ndcg FROM sc")
 def run_scores(spark, sf):
     return QL.run_scores(QL.per_query_scores(got_lists(spark, sf), truth_lists(spark, sf), K))
 

@@ -26,9 +26,10 @@ def _totals(df):
 
 
 def _slices(df, parts: int):
-    """The corpus in `parts` ranges of its dense ids."""
+    """The corpus in `parts` ranges of ids, equal ones where ids are dense; the outer ranges are open, so every row is in one."""
     size = -(-df.count() // parts)
-    return [df.filter((F.col("id") >= i * size) & (F.col("id") < (i + 1) * size)) for i in range(parts)], size
+    place = F.coalesce(F.least(F.greatest(F.floor(F.col("id") / size), F.lit(0)), F.lit(parts - 1)), F.lit(parts - 1))
+    return [df.filter(place == i) for i in range(parts)], size
 
 
 # --- files ---------------------------------------------------------------------------------------
@@ -129,7 +130,7 @@ g AS (SELECT 50 AS stage, * FROM ({_stage_sql('2')}) WHERE rank <= 10 UNION ALL
 UNION ALL SELECT 100, * FROM t UNION ALL SELECT 110, * FROM t),
 ideal AS (SELECT sum(1 / log2(i + 2)) AS v FROM (SELECT unnest(range(0, 10)) AS i)),
 pq AS (SELECT stage, g.qid, count(t.id) / 10.0 AS recall, coalesce(sum(1 / log2(t.rank + 1)), 0) / max(v) AS ndcg FROM g LEFT JOIN t ON t.qid = g.qid AND t.id = g.id, ideal GROUP BY 1, 2)
-SELECT stage::BIGINT AS stage, least(n, CASE stage WHEN 50 THEN 2 WHEN 80 THEN 4 ELSE 5 END * size)::BIGINT AS visible_rows, round_even(avg(recall), 4) AS recall, round_even(avg(ndcg), 4) AS ndcg FROM pq, z GROUP BY stage, n, size"""
+SELECT stage::BIGINT AS stage, least(n, CASE stage WHEN 50 THEN 2 WHEN 80 THEN 4 ELSE 5 END * size)::BIGINT AS visible_rows, round_even(round(avg(recall), 12), 4) AS recall, round_even(round(avg(ndcg), 12), 4) AS ndcg FROM pq, z GROUP BY stage, n, size"""
 
 
 @query("x4_staged_search", _STAGES)
@@ -191,7 +192,7 @@ gs AS (SELECT nprobe, ts.qid, ts.id, row_number() OVER (PARTITION BY nprobe, ts.
 pq AS (SELECT nprobe, gs.qid, count(t.id) / 10.0 AS recall FROM gs LEFT JOIN t ON t.qid = gs.qid AND t.id = gs.id WHERE gs.rank <= 10 GROUP BY 1, 2)"""
 
 
-@query("n11_probe_sweep", f"WITH {C}, {Q}, {_sweep_sql('[1, 2, 4, 10]')} SELECT nprobe, round_even(avg(recall), 4) AS recall FROM pq GROUP BY nprobe")
+@query("n11_probe_sweep", f"WITH {C}, {Q}, {_sweep_sql('[1, 2, 4, 10]')} SELECT nprobe, round_even(round(avg(recall), 12), 4) AS recall FROM pq GROUP BY nprobe")
 def probe_sweep(spark, sf):
     cents, probes = centroids(spark, sf), [1, 2, 4, 10]
     runs = PF.sweep([PF.InvertedFile(nprobe=n, centroids=cents) for n in probes], corpus(spark, sf).select("id", "emb"),
@@ -222,7 +223,7 @@ class LabelMeans:
         return self.inner.search(queries, rows, k, metric, where)
 
 
-@query("e7_plug_in_method", f"WITH {C}, {Q}, {_sweep_sql('[1]')} SELECT 'LabelMeans' AS searcher, round_even(avg(recall), 4) AS recall FROM pq")
+@query("e7_plug_in_method", f"WITH {C}, {Q}, {_sweep_sql('[1]')} SELECT 'LabelMeans' AS searcher, round_even(round(avg(recall), 12), 4) AS recall FROM pq")
 def plug_in_method(spark, sf):
     row = PF.run_case(LabelMeans(centroids(spark, sf)), corpus(spark, sf).select("id", "emb"), profiles(spark, sf), k=10)
     return row.select("searcher", "recall")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -56,14 +58,27 @@ def broadcast_if_small(df: DataFrame, max_rows: int, bytes_per_row: int) -> Data
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is named."""
+    """The cluster's shared checkpoint folder; a temporary one only on a local master where none is named."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file:" + tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once per context, unless their PYTHONPATH has it."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    context = spark.sparkContext
+    if getattr(context, "_vectorlab_shipped", False) or root in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="run-", dir="/tmp"), "vectorlab"), "zip", root, "vectorlab")
+    context.addPyFile(archive)
+    context._vectorlab_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/vectorlab/{name}-{uuid.uuid4().hex}"
 
