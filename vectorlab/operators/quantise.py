@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import check_broadcast
 from .blocks import matrix, nearest
 from .running import running_sum
 from .vectors import dimension_range
@@ -183,7 +184,10 @@ def fit_codebooks(df: DataFrame, m: int, nbits: int = 8, emb: str = "emb", fract
 
 def product_codes(df: DataFrame, codebooks: np.ndarray, keep: list[str] | None = None, emb: str = "emb",
                   out: str = "emb") -> DataFrame:
-    """The code of each sub-vector: its nearest centre, ties to the lower code."""
+    """The code of each sub-vector: its nearest centre, ties to the lower code. At most 2^15 centres, as codes are 16-bit."""
+    if codebooks.shape[1] > 1 << 15:
+        raise ValueError(f"{codebooks.shape[1]} centres do not fit a 16-bit code")
+    check_broadcast(df.sparkSession, codebooks.nbytes, "codebooks")
     shared = df.sparkSession.sparkContext.broadcast(codebooks)
 
     def encode(x: np.ndarray) -> np.ndarray:

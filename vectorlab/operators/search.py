@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.metrics import metric as metric_of
-from ..session import broadcast_if_small, broadcast_limit, scan_tasks, scratch_path
+from ..session import broadcast_if_small, broadcast_limit, scratch_path
 from .blocks import CodeSpace, Space, TopK, matrix
 
 RESULT = "qid bigint, id bigint, dist double, rank int"
@@ -122,8 +122,7 @@ def scan_corpus(corpus: DataFrame, ids: np.ndarray, space: Space, k: int,
 
     columns = ["id", "emb"] + (["list_id"] if probes is not None else [])
     rows = corpus.filter(F.col("emb").isNotNull()).select(*columns)
-    partial = rows.coalesce(scan_tasks(spark)).mapInArrow(run, PARTIAL)
-    return merge_top_k(partial, k)
+    return merge_top_k(rows.mapInArrow(run, PARTIAL), k)
 
 
 def rank_within(keys: list[str], by: str = "dist", tie: str = "id") -> Column:
@@ -132,9 +131,8 @@ def rank_within(keys: list[str], by: str = "dist", tie: str = "id") -> Column:
 
 
 def merge_top_k(partial: DataFrame, k: int) -> DataFrame:
-    """Best k of the per-task answers; on wide clusters in two steps so no query meets in one task at once."""
-    if partial.sparkSession.sparkContext.defaultParallelism >= 4 * MERGE_WIDTH:
-        partial = partial.withColumn("rank", rank_within(["qid", "part"])).filter(F.col("rank") <= k).drop("rank")
+    """Best k of the per-task answers, in two steps so that no query's answers from all tasks meet in one task."""
+    partial = partial.withColumn("rank", rank_within(["qid", "part"])).filter(F.col("rank") <= k).drop("rank")
     return (partial.withColumn("rank", rank_within(["qid"])).filter(F.col("rank") <= k)
             .select("qid", "id", "dist", "rank"))
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import search as S
 from ..operators.blocks import Space, TopK, matrix, nearest
 from ..operators.quantise import bit_codes, fit_scalar, product_codes, range_arrays, scalar_codes, scalar_steps
-from ..session import broadcast_limit, materialise
+from ..session import broadcast_limit, check_broadcast, materialise
 
 
 @dataclass
@@ -56,6 +56,7 @@ def assign(corpus: DataFrame, centroids: Centroids, residuals: bool = False) ->
     With `residuals` also adds `residual`, the vector minus its centroid.
     """
     spark = corpus.sparkSession
+    check_broadcast(spark, centroids.vectors.nbytes, "centroids")
     shared = spark.sparkContext.broadcast(centroids)
     names = corpus.columns
 

@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES_KEY = "vectorlab.broadcast.maxBytes"
 BROADCAST_BYTES_DEFAULT = 64 * 1024 * 1024
 
-# Upper bound on the tasks of a top-k scan; each task sends at most k rows per query on.
-SCAN_TASKS_KEY = "vectorlab.scan.maxTasks"
-SCAN_TASKS_FLOOR = 8192
-
 
 def build_session(app: str = "vectorlab", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """A session with the settings the library is written for; a cluster's own settings win."""
@@ -43,11 +39,10 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_BYTES_KEY, str(BROADCAST_BYTES_DEFAULT)))
 
 
-def scan_tasks(spark: SparkSession) -> int:
-    explicit = spark.conf.get(SCAN_TASKS_KEY, None)
-    if explicit:
-        return int(explicit)
-    return max(SCAN_TASKS_FLOOR, 4 * spark.sparkContext.defaultParallelism)
+def check_broadcast(spark: SparkSession, size: int, what: str) -> None:
+    """Error if a value of `size` bytes is too large to send to every worker."""
+    if size > broadcast_limit(spark):
+        raise ValueError(f"{what}: {size} bytes exceed {BROADCAST_BYTES_KEY}")
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int, bytes_per_row: int) -> DataFrame:
