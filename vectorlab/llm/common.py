@@ -13,17 +13,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..registry.base import table  # noqa: F401
 from ..session import broadcast_limit, materialise
 
-SIMILAR = 0.8
+#: Rows of an Arrow batch of texts. Spark's own number suits narrow rows; long texts would make batches of gigabytes.
+BATCH_ROWS, BATCH_KEY, SPARK_ROWS = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 
 
 def text_bytes(text: str) -> Column:
-    """A text column as UTF-8 bytes, null as empty."""
+    """A text column as UTF-8 bytes, null as empty. Lowers the session's rows per Arrow batch, unless they were set."""
+    spark = SparkSession.getActiveSession()
+    if spark and spark.conf.get(BATCH_KEY) == SPARK_ROWS:
+        spark.conf.set(BATCH_KEY, str(BATCH_ROWS))
     return F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
 
 

@@ -172,7 +172,8 @@ def _search(docs: DataFrame, automaton: Automaton, text: str) -> Column:
             rows.append({"n_words": len(text_words), "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(names)})
         return pa.array(rows, FOUND_ARROW)
 
-    return found(C.text_bytes(text))
+    # or a filter on the result would be pushed below it and search every text twice
+    return found.asNondeterministic()(C.text_bytes(text))
 
 
 @F.arrow_udf(T.ArrayType(SPAN))
@@ -247,6 +248,8 @@ def remove_matches(docs: DataFrame, items: DataFrame, text: str = "text", longes
     found, m = matches(docs, items, text, item_text, item_id, window)
     hit = F.aggregate(F.col(m)["spans"], F.lit(0), lambda n, s: n + s["end"] - s["start"])
     kept = found.where(hit <= coverage * F.col(m)["n_words"])
+    if coverage <= 0:  # no document with a span is left
+        return kept.drop(m)
     long = F.filter(F.col(m)["spans"], lambda s: s["end"] - s["start"] > longest)
     return kept.withColumn(text, F.when(F.size(long) > 0, _cuts(C.text_bytes(text), long)).otherwise(F.col(text))).drop(m)
 

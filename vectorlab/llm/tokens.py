@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 DEFAULT = "word_bpe_49k.json"
 #: Words kept per worker; when full, the store is emptied. This changes speed only.
-KEPT = 600_000
+KEPT = 200_000
 #: Marks, a core of ASCII or Latin-1 letters, marks: the tokenizer splits such a word just there.
 PLAIN = re.compile(rb"([!-&(-/:-@\[-`{-~]*)((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
 

@@ -64,14 +64,19 @@ class Ftrl:
 
 
 def _fit(batches: Iterator[pa.RecordBatch], epochs: int) -> Iterator[pa.RecordBatch]:
-    rows = [(np.append(features(data), 0).astype(np.int64), label)
-            for batch in batches for data, label in zip(C.byte_texts(batch.column(0)), batch.column(1).to_pylist())]
-    toxic = sum(label for _, label in rows)
-    if 0 < toxic < len(rows):
-        learner = Ftrl()
+    labels, sizes, blocks = [], [0], []
+    for batch in batches:
+        found = [np.append(features(data), 0).astype(np.int32) for data in C.byte_texts(batch.column(0))]
+        labels += batch.column(1).to_pylist()
+        sizes += [len(f) for f in found]
+        blocks += [np.concatenate(found)] if found else []
+    toxic = sum(labels)
+    if 0 < toxic < len(labels):
+        learner, every, ends = Ftrl(), np.concatenate(blocks), np.cumsum(sizes).tolist()
+        blocks.clear()
         for _ in range(epochs):
-            for at, label in rows:
-                learner.learn(at, label)
+            for label, begin, end in zip(labels, ends, ends[1:]):
+                learner.learn(every[begin:end], label)
         w = learner.weights(slice(None))
     else:
         w = np.zeros(DIMENSIONS)
