@@ -201,6 +201,69 @@ def test_licences(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD2 = """Copyright (c) 2020, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+ISC = """Copyright (c) 2020, Some One
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE.
+"""
+
+
+def test_whole_wrapped_licences(spark):
+    marked = lambda text, mark: "".join(f"{mark} {line}".rstrip() + "\n" for line in text.splitlines())
+    cases = [(text, name) for name, text in (("MIT", MIT), ("BSD-2-Clause", BSD2), ("BSD-3-Clause", BSD3), ("ISC", ISC))]
+    cases += [(f"/*\n{marked(text, ' *')} */\nint x;", name) for text, name in cases[:4]] + [(marked(text, m), name) for text, name in cases[:4] for m in ("#", "//")]
+    cases += [(text.replace("\n", "\r\n"), name) for text, name in cases[:4]] + [(" ".join(text.split()), name) for text, name in cases[1:3]]
+    cases += [(BSD3.replace("the copyright holder", "Acme, Inc"), "BSD-3-Clause"), (BSD3.replace("\n\n", "\n").replace("3. ", "(c) "), "BSD-3-Clause"),
+              ("MIT License\n" + MIT[MIT.index("Permission"):], "MIT"), ("License: MIT\nint x\nlicensed under the MIT license\nint y", "MIT"),
+              (MIT + "\n\n" + BSD3, "MIT,BSD-3-Clause"), (MIT[:300], "")]
+    docs = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(cases)], "doc_id int, text string")
+    assert {r.doc_id: r.licences for r in license_scan.licences(docs).collect()} == {i: name for i, (_, name) in enumerate(cases)}
+
+
 def test_known_sentences_hold_a_licence_word():
     for sentence, name in license_scan.known().items():
         assert re.search(license_scan.WORD, sentence), sentence

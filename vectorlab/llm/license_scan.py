@@ -5,6 +5,11 @@ licence sentences, which have identifiers; others get UNKNOWN. The identifiers i
 the rules one after the other: a rule is a run of identifiers, and what a rule has matched is used up, so longer
 rules come first. Every text is scanned whole, row by row, with no shuffle.
 
+Known sentences are found however their lines are broken: between their words may stand line breaks, comment marks and
+empty lines. They start at a line or after a sentence and end at punctuation or at a line's end. Other text ends a sentence at
+every line break, so a one-line mention between lines without punctuation counts too. The SQL reads line by line
+and knows no third BSD clause; it agrees where no licence sentence is wrapped and no such clause follows a BSD run.
+
 Null and empty texts have no sentences. Repeated sentences are listed as often as they stand.
 """
 
@@ -64,6 +69,15 @@ RULES = [
     ("CC0-1.0", ["cc0Ref"]),
 ]
 
+#: What the operator knows besides: a clause that names the holder, as a sentence with a gap, and the rule that it makes.
+GAP = "the copyright holder"
+CLAUSES = {"bsdEndorse": f"neither the name of {GAP} nor the names of its contributors may be used to endorse or promote products derived from this "
+                         "software without specific prior written permission"}
+BSD3 = ("BSD-3-Clause", ["bsdGrant", "bsdSource", "bsdBinary", "bsdEndorse"])
+#: Start of a wrapped sentence: a line or the end of a sentence, then marks of comments and lists. Between words: all but letters and digits.
+START = "(?<=\\A|[\\x0A\\x0D]|[.!?;][\\x20\\x09])[^A-Za-z0-9\\x0A\\x0D]*+(?:[0-9a-z]{1,2}[.)][\\x20\\x09]++)?"
+BETWEEN, STOP = "[^A-Za-z0-9]++", "(?:[^A-Za-z0-9\\x0A\\x0D]*+(?=[\\x0A\\x0D]|\\z)|[.!?;]++[\\x20\\x09]++|:[\\x20\\x09]++(?=[(*-]?[\\x20]?[0-9a-z]{1,2}[.)]))"
+
 
 def known() -> dict[str, str]:
     """Identifier by normalised sentence."""
@@ -74,21 +88,40 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
 
 
+def rules() -> list[tuple[str, list[str]]]:
+    """The rules in the order in which they are tried."""
+    at = [name for name, _ in RULES].index("BSD-2-Clause")
+    return [*RULES[:at], BSD3, *RULES[at:]]
+
+
+def _wrapped(sentence: str) -> str:
+    """Pattern of a known sentence over any number of lines."""
+    parts = [BETWEEN.join(part.split()) for part in sentence.split(GAP)]
+    return "(?i)" + START + (BETWEEN + "[^.;]{1,300}?" + BETWEEN).join(parts) + STOP
+
+
+def unwrapped(text: Column) -> Column:
+    """Text with each known sentence on a line of its own."""
+    for sentence in [*known(), *CLAUSES.values()]:
+        text = F.regexp_replace(text, _wrapped(sentence), f"\n{sentence}\n")
+    return text
+
+
 def sentence_ids(text: str = "text") -> Column:
     """Identifiers of a text's licence sentences in text order."""
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    table = F.create_map(*[F.lit(x) for pair in known().items() for x in pair])
-    sentences = F.filter(F.split(whole, END), lambda s: F.lower(s).rlike(WORD))
+    table = F.create_map(*[F.lit(x) for pair in (known() | {s: i for i, s in CLAUSES.items()}).items() for x in pair])
+    sentences = F.filter(F.split(unwrapped(whole), END), lambda s: F.lower(s).rlike(WORD))
     found = F.transform(sentences, lambda s: F.coalesce(F.try_element_at(table, normalised(s)), F.lit(UNKNOWN)))
     return F.when(F.lower(whole).rlike(WORD), found).otherwise(F.array().cast("array<string>"))
 
 
 def _matched(ids: Column) -> Column:
     """Names of the rules that match, in rule order. ids: array of identifiers."""
-    rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("|" + "||".join(run) + "|").alias("run")) for name, run in RULES])
+    tried = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("|" + "||".join(run) + "|").alias("run")) for name, run in rules()])
     start = F.struct(F.array_join(F.transform(ids, lambda i: F.concat(F.lit("|"), i, F.lit("|"))), "").alias("left"),
                      F.array().cast("array<string>").alias("names"))
-    end = F.aggregate(rules, start, lambda state, rule: F.struct(
+    end = F.aggregate(tried, start, lambda state, rule: F.struct(
         F.replace(state["left"], rule["run"], F.lit("#")).alias("left"),
         F.when(F.contains(state["left"], rule["run"]), F.concat(state["names"], F.array(rule["name"]))).otherwise(state["names"]).alias("names")))
     return F.array_distinct(end["names"])
