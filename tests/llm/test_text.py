@@ -172,6 +172,31 @@ def test_main_text(html):
     assert html_text.main_text(html) == PLAIN
 
 
+SIDE = f"<div class=sidebar><p>{'side ' * 40}</p></div><div id=comments class='post-comments'><h2>Replies</h2><article class=comment-body>{'reply ' * 400}</article></div>"
+
+
+@pytest.mark.parametrize("html", [
+    *(f"<body><div id=page class='{name}'><nav><a href=x>Menu</a></nav><div class=content>{ARTICLE}</div>{SIDE}</div>"
+      for name in ("site no-sidebar", "site with-sidebar", "has-comments", "page_without_search", "search-result", "sidebar-layout")),
+    *(f"<body><div class='{name}'><nav><a href=x>Menu</a></nav><{tag}>{ARTICLE}</{tag}></div><footer>end</footer>"
+      for name in ("sidebar", "widget", "site sidebar") for tag in ("article", "main")),
+    f"<body><div class=sidebar>{ARTICLE}</div><footer>end</footer>",
+    f"<body><form action=x><nav><a href=x>Menu</a></nav><div>{ARTICLE}</div>{SIDE}<button>ok</button></form></body>",
+    f"<body><form action=x><article>{ARTICLE}</article></form></body>",
+    f"<body><aside><main>{ARTICLE}</main></aside></body>",
+    f"<body><article>{ARTICLE}</article>{SIDE}</body>", f"<body><div>{ARTICLE}</div>{SIDE}</body>", f"<body><main>{ARTICLE}{SIDE}</main></body>",
+    f"<body><div>{ARTICLE}</div><div class=cookie-consent>{'we set cookies ' * 90}</div><div hidden><p>{'unseen ' * 200}</p></div></body>",
+    f"<body><div>{ARTICLE}</div><select>{'<option>country' * 300}</select><nav>{'<a href=x>linked words</a>' * 90}</nav></body>",
+    f"<body><form action=x><aside>{ARTICLE}</aside><footer>end</footer></form></body>",
+])
+def test_wrappers_keep_the_text(html):
+    assert html_text.main_text(html) == PLAIN
+
+
+def test_labels_alone_leave_no_page_empty():
+    assert html_text.main_text("".join(f"<div class=widget><p>{part * 20}</p></div>" for part in ("one ", "two ", "six "))).split() == ["one"] * 20 + ["two"] * 20 + ["six"] * 20
+
+
 def test_pages_with_odd_cases(spark):
     pages = [(1, "u", None), (2, "u", ""), (2, None, "no tags at all"), (None, "u", "<p>x" * 3000), (5, "u", "<" * 5000), (6, "u", "<div>" * 3000 + "deep"),
              (7, "u", "<script>never closed"), (8, "u", '<p title="a>b">x</p>'), (9, "u", "<p title='open>" + "y" * 10)]

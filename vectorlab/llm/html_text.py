@@ -7,8 +7,12 @@ and the element with the largest sum is the core. The smallest density on the wa
 the threshold: beside that way, other elements that reach it belong to the text too, and so do headings. Where the
 core stands in an `article` or `main` element, that element is the text.
 
-Elements that never hold main text (scripts, forms, menus, page headers and footers, asides, and those whose class, id or
-role says notice, advert, sidebar, comments and so on) are left out before anything is counted.
+Elements that never hold main text (scripts, buttons, hidden ones) are left out before anything is counted. So are those that
+seldom do: forms, menus, page headers and footers, asides, and those with a class, id or role that names a notice,
+advert, sidebar, comments and so on. A class names what its last word says, boxes and lists aside: `post-comments` and `comment-list`
+do, `search-result` and `no-sidebar` don't. But these stay, for the density to decide, where they wrap the page: where the
+page's only articles or main elements are in such elements, or where one holds most of the unlinked text and a main heading or nearly
+all that is not left out. If only labels have left nothing, they don't count.
 
 Null, empty and unparsable pages give an empty text. Unclosed and misplaced tags, quotes and comments are
 closed where browsers would, or at the end of the page. A page's cost is linear in its length.
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -39,6 +44,8 @@ CONTAINER = frozenset("article main".split())
 NEVER = RAW | frozenset("head nav footer aside form button select option input dialog menu svg math canvas object audio video map datalist fieldset".split())
 CLOSES_P = frozenset(("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                       "header hgroup hr main menu nav ol p pre section table ul").split())
+#: These may wrap a page by mistake or for technical reasons; the others of NEVER can't hold main text.
+WRAPS = frozenset("nav footer aside form dialog menu fieldset".split())
 #: An element of the key closes an open element of the value's names, unless one of the value's bounds is in between.
 CLOSES = {
     "li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"),
@@ -49,14 +56,30 @@ NOISE = frozenset(("ad ads advert advertisement adverts advertising adsense spon
                    "alert sidebar sidenav nav navbar navigation menu breadcrumb breadcrumbs pagination pager footer masthead topbar toolbar comment "
                    "comments disqus replies respond share sharing social related recommended newsletter subscribe subscription signup login popup "
                    "modal overlay widget widgets skip contentinfo complementary search").split())
+#: Last words of a class that say nothing of its role, and words that say that something else has what is named, or has not.
+BOX = frozenset(("area bar block body box col column container content group inner item items link links left list outer panel right section sections "
+                 "top bottom unit wrap wrapper").split())
+ABOUT = frozenset("no not non without with has have hide hidden show is in to after before".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog menu menubar toolbar".split())
 
 
+KEPT, LABELLED, WRAP, LEFT_OUT = range(4)
+
+
+@lru_cache(4096)
+def names_noise(token: str) -> bool:
+    """Whether a class or id names a part of a page beside the main text."""
+    words = LABEL.findall(token)
+    while len(words) > 1 and words[-1] in BOX:
+        words.pop()
+    return bool(words) and words[-1] in NOISE and ABOUT.isdisjoint(words)
+
+
 class Page:
     """Elements in the order they open, each with its parent, and the texts between tags."""
 
     def __init__(self, html: str):
-        self.tag, self.parent, self.last, self.noise = [""], [-1], [0], [False]
+        self.tag, self.parent, self.last, self.flag, self.label = [""], [-1], [0], [KEPT], [False]
         self.texts: list[tuple[int, str]] = []
         self.stack = [0]
         self._read(html)
@@ -98,24 +121,28 @@ class Page:
         self.tag.append(tag)
         self.parent.append(here)
         self.last.append(len(self.tag))
-        self.noise.append(self.noise[here] or self._is_noise(tag, attributes))
+        flag, label = self._flag(tag, attributes)
+        self.flag.append(flag)
+        self.label.append(label)
         if tag not in VOID:
             self.stack.append(len(self.tag) - 1)
 
-    def _is_noise(self, tag: str, attributes: str) -> bool:
-        if tag in NEVER or tag == "header" and not any(self.tag[n] in CONTAINER for n in self.stack):
-            return True
-        if not attributes or tag in ("html", "body") or tag in CONTAINER:
-            return False
-        for name, *values in ATTRIBUTE.findall(attributes):
+    def _flag(self, tag: str, attributes: str) -> tuple[int, bool]:
+        """Whether an element is left out, taken by itself, and whether its attributes name noise."""
+        if tag in NEVER and tag not in WRAPS:
+            return LEFT_OUT, False
+        label = False
+        for name, *values in ATTRIBUTE.findall(attributes) if attributes and tag not in ("html", "body") else ():
             name, value = name.lower(), "".join(values).lower()
-            if name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
-            if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return True
-            if name == "role" and value.strip() in NOISE_ROLES or name in ("class", "id") and not NOISE.isdisjoint(LABEL.findall(value)):
-                return True
-        return False
+            if tag not in CONTAINER:
+                if name == "hidden" or name == "aria-hidden" and value == "true":
+                    return LEFT_OUT, False
+                if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+                    return LEFT_OUT, False
+            label |= name == "role" and value.strip() in NOISE_ROLES or name in ("class", "id") and any(map(names_noise, value.split()))
+        if tag in WRAPS or tag == "header" and not any(self.tag[n] in CONTAINER for n in self.stack):
+            return WRAP, label
+        return LABELLED if label and tag not in CONTAINER else KEPT, label
 
     def _close(self, tag: str) -> None:
         inline = tag in INLINE
@@ -162,6 +189,50 @@ def _density(chars: float, tags: float, link_chars: float, link_tags: float, pag
     return plain * max(math.log(ratio), 0.0) / math.log(base)
 
 
+def _noise(page: Page, sizes: list[int], linked: list[bool]) -> list[bool]:
+    """Which elements are left out, themselves or with one above. sizes: characters of the page's texts."""
+    n, tag, flag = len(page.tag), page.tag, page.flag
+
+    def above(wanted: list[bool]) -> list[int]:
+        """How many wanted elements each element stands in or is."""
+        out = [0] * n
+        for v in range(1, n):
+            out[v] = out[page.parent[v]] + wanted[v]
+        return out
+
+    never, deep = above([f == LEFT_OUT for f in flag]), above([f != KEPT for f in flag])
+    plain = [0] * n
+    for (v, _), size in zip(page.texts, sizes):
+        if not never[v] and not linked[v]:
+            plain[v] += size
+    own = plain[:]
+    mains = [v for v in range(n) if tag[v] in CONTAINER and not never[v] and not page.label[v]]
+    least = min((deep[v] for v in mains), default=0)
+    main, title = [False] * n, [tag[v] == "h1" and not never[v] for v in range(n)]
+    for v in mains:
+        main[v] = deep[v] == least
+    for v in range(n - 1, 0, -1):
+        up = page.parent[v]
+        plain[up] += plain[v]
+        main[up] |= main[v]
+        title[up] |= title[v]
+    flag = [KEPT if f in (LABELLED, WRAP) and main[v] else f for v, f in enumerate(flag)]
+    # at most one way down the tree holds most of the text: from outside in, with the text that stays beside each element
+    most = [f in (LABELLED, WRAP) and 2 * plain[v] > plain[0] for v, f in enumerate(flag)]
+    apart, at, rest = above([f != KEPT and not most[v] for v, f in enumerate(flag)]), above(most), [0] * n
+    for v in range(n):
+        rest[at[v]] += 0 if apart[v] else own[v]
+    for k, v in enumerate((v for v in range(n) if most[v]), 1):
+        rest[k] += rest[k - 1]
+        if not title[v] and 10 * rest[k - 1] >= plain[v]:
+            break
+        flag[v] = KEPT
+    noise = above([f != KEPT for f in flag])
+    if all(noise[v] for (v, _), size in zip(page.texts, sizes) if size):
+        noise = above([f in (WRAP, LEFT_OUT) for f in flag])
+    return list(map(bool, noise))
+
+
 def main_text(html: str) -> str:
     page = Page(html)
     n = len(page.tag)
@@ -173,15 +244,16 @@ def main_text(html: str) -> str:
         linked[v] = linked[up] or page.tag[v] == "a"
         if page.tag[v] in INLINE:
             block[v] = block[up]
-    for v, text in page.texts:
-        if not page.noise[v]:
-            size = len("".join(text.split()))
+    sizes = [len("".join(text.split())) for _, text in page.texts]
+    noise = _noise(page, sizes, linked)
+    for (v, _), size in zip(page.texts, sizes):
+        if not noise[v]:
             chars[v] += size
             own[block[v]] += size
             if linked[v]:
                 link_chars[v] += size
     for v in range(n - 1, 0, -1):
-        if not page.noise[v]:
+        if not noise[v]:
             up = page.parent[v]
             chars[up] += chars[v]
             link_chars[up] += link_chars[v]
@@ -193,9 +265,9 @@ def main_text(html: str) -> str:
     density = [_density(chars[v], tags[v], link_chars[v], link_tags[v], share) if block[v] == v else 0.0 for v in range(n)]
     total = [_density(own[v], 1, 0, 0, share) if own[v] else 0.0 for v in range(n)]
     for v in range(1, n):
-        if block[v] == v and not page.noise[v]:
+        if block[v] == v and not noise[v]:
             total[block[page.parent[v]]] += density[v]
-    core = max((v for v in range(n) if block[v] == v and not page.noise[v]), key=lambda v: (total[v], v))
+    core = max((v for v in range(n) if block[v] == v and not noise[v]), key=lambda v: (total[v], v))
     path = [core]
     while page.parent[path[-1]] >= 0:
         path.append(page.parent[path[-1]])
@@ -212,7 +284,7 @@ def main_text(html: str) -> str:
     wanted = bytearray(n)
     for first, end in kept:
         wanted[first:end] = b"\1" * (end - first)
-    return " ".join("".join(text for v, text in page.texts if wanted[v] and not page.noise[v]).split())
+    return " ".join("".join(text for v, text in page.texts if wanted[v] and not noise[v]).split())
 
 
 @F.arrow_udf(T.StringType())
