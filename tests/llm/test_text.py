@@ -314,6 +314,18 @@ def test_scores(odd, nothing):
     assert mixing.score(nothing).count() == 0
 
 
+def test_every_training_text_fills_the_contexts(spark):
+    words = {"bravo": (40, 0), "delta": (0, 40), "kilo": (30, 10)}
+    pairs = spark.createDataFrame([(w.encode(), 0, *n) for w, n in words.items()], "word binary, accent int, main bigint, tune bigint").repartition(2, "word")
+    before, after = mixing.tables(pairs, mixing.SEEN)
+    for word, (main, _) in words.items():
+        data = mixing.Bytes([word.encode()], np.zeros(1, np.int64))
+        slot = data.slots(5, slice(3, 4), np.array([1], np.uint64))[0]
+        assert (before[5][slot] != 0) == (main > 0) and after[5][slot] != 0
+    model = mixing.fit(pairs, 120)
+    assert all((made == want).all() for made, want in zip(model.tables, after))
+
+
 def test_mixed_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     model = mixing.Model([rng.integers(-127, 128, 1 << bits).astype(np.int8) for bits in mixing.SLOTS],
