@@ -326,6 +326,13 @@ def test_every_training_text_fills_the_contexts(spark):
     assert all((made == want).all() for made, want in zip(model.tables, after))
 
 
+def test_the_minimum_is_that_of_all_tasks_together(spark):
+    words = [b"a" + bytes([x]) + b"ing" for x in range(98, 120)]
+    pairs = spark.createDataFrame([(w, 0, 1, 0) for w in words], "word binary, accent int, main bigint, tune bigint")
+    apart, together = (mixing.tables(pairs.repartition(n, "word"), 20)[1] for n in (11, 1))
+    assert all((a == b).all() for a, b in zip(apart, together)) and sum(map(np.count_nonzero, apart)) > 0
+
+
 def test_mixed_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     model = mixing.Model([rng.integers(-127, 128, 1 << bits).astype(np.int8) for bits in mixing.SLOTS],
