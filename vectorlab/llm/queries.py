@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..session import scratch_path
 from . import common as C
-from . import centroids, decontaminate, exact_dedup, html_text, license_scan, minhash, mixing, packing, simhash, suffix_dedup, toxicity, training_order
+from . import centroids, collocations, decontaminate, exact_dedup, html_text, license_scan, minhash, mixing, packing, simhash, suffix_dedup, toxicity, training_order
 
 
 def _documents(spark, sf_dir):
@@ -59,13 +59,18 @@ def op12_centroids(spark, sf_dir):
     return centroids.clusters(C.table(spark, sf_dir, "embeddings"))
 
 
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(_documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_training_order, op3_lm_scoring, op4_license_scan, op5_suffix_dedup, op6_exact_dedup, op7_toxicity, op8_packing,
-    op9_html_extraction, op10_decontamination, op11_minhash, op12_centroids)}
+    op9_html_extraction, op10_decontamination, op11_minhash, op12_centroids, op13_collocations)}
 
 ORACLES = {
     "op11_minhash": minhash.sql(),
     "op12_centroids": centroids.sql(),
+    "op13_collocations": collocations.sql(),
     "op4_license_scan": license_scan.sql(),
     "op6_exact_dedup": r"""
         WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
