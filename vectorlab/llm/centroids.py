@@ -131,7 +131,9 @@ def start(vectors: DataFrame, clusters: int = CLUSTERS, scale: int = SCALE, seed
     """Integer vectors whose ids have the smallest SHA-256 of `seed:id`, in that order; equal ids by their components."""
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("vec_id").cast("string"), F.lit(""))), 256)
     first = vectors.select(digest.alias("digest"), "emb").orderBy("digest", "emb").limit(clusters).collect()
-    return [[int(v) for v in row] for row in integers(np.array([r["emb"] for r in first], np.float64).reshape(len(first), -1), scale)]
+    if not first:
+        return []
+    return [[int(v) for v in row] for row in integers(np.array([r["emb"] for r in first], np.float64), scale)]
 
 
 def train(vectors: DataFrame, clusters: int = CLUSTERS, rounds: int = ROUNDS, scale: int = SCALE, seed: int = SEED) -> list[list[int]]:
