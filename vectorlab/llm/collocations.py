@@ -39,6 +39,7 @@ PIECES = b".,;:!?\n\x0b\x0c\r"
 TABLE = bytes(0xFF if b in PIECES else b + 32 if 65 <= b <= 90 else b for b in range(256))
 SLICE, WORDS = 1 << 20, 1 << 20
 BITMAP_BITS, RANGE, RANGES = 27, 18, 17
+SHARES = 64  # parts of a language that are ranked by themselves first
 ENTRY_BYTES = 120  # a word in a worker's dictionary, besides its letters
 
 
@@ -331,10 +332,12 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     totals, words, phrases = frequent_phrases(texts, least, longest)
     scored = _uncovered(_scored(phrases, totals, words, scale), phrases, cover)
     order = [F.col("score").desc(), F.col("a").desc()]
-    first = scored.withColumn("rank", F.rank().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top).drop("rank")
+    first = scored.withColumn("share", F.pmod(F.xxhash64("ids"), F.lit(SHARES)))  # a language may hold most phrases
+    for within in (["lang", "share"], ["lang"]):
+        first = first.withColumn("rank", F.rank().over(Window.partitionBy(*within).orderBy(*order))).where(F.col("rank") <= top).drop("rank")
     spelled = first.select("ids", F.posexplode("ids").alias("at", "id")).join(C.broadcast_checked(words.select("id", "word"), 64), "id")
     spelled = spelled.groupBy("ids").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("w")).select("ids", F.concat_ws(" ", "w.word").alias("phrase"))
-    ranked = first.join(spelled, "ids").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order, "phrase"))).where(F.col("rank") <= top)
+    ranked = first.drop("share").join(spelled, "ids").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order, "phrase"))).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
