@@ -42,6 +42,30 @@ def test_stages_and_batches(spark, source):
     assert single.progress().count() == 1 and rows_of(single) == rows_of(many)
 
 
+def test_every_row_is_compared_once_and_answers_are_carried(spark, source):
+    c, root = source
+    compared = []
+
+    def counting(queries, rows, k, metric):
+        compared.append(rows.count())
+        return S.top_k(queries, rows, k, metric)
+
+    run = ingest(spark, c, f"{root}/run", stages=(0.2, 0.4, 0.6, 0.8), search=counting)
+    run.run(f"{root}/source")
+    assert {r["stage"] for r in run.finish(optimise=False).collect()} == {20, 40, 60, 80, 100}
+    assert compared == [50] * 5
+    for batch in range(5):
+        seen = X[:50 * batch + 50]
+        q = np.linalg.norm(seen[None] - X[:6, None], axis=2)
+        want = [np.lexsort((np.arange(len(seen)), d))[:5].tolist() for d in q]
+        lists = {r["qid"]: r["ids"] for r in S.answer_lists(run.answers(batch)).collect()}
+        assert [lists[i] for i in range(6)] == want
+    before = [sorted(map(tuple, run.answers(b).collect())) for b in range(5)]
+    again = run.rows().filter("batch_id = 2").select("id", "emb").collect()
+    run.take_batch(spark.createDataFrame(again, "id bigint, emb array<float>"), 2)
+    assert [sorted(map(tuple, run.answers(b).collect())) for b in range(5)] == before
+
+
 def test_repeated_batch_and_restart_change_nothing(spark, source):
     c, root = source
     run = ingest(spark, c, f"{root}/run", stages=(0.4,))

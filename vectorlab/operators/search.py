@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.metrics import metric as metric_of
 from ..session import broadcast_if_small, broadcast_limit, scratch_path
 from .blocks import CodeSpace, Space, TopK, matrix
+from .grid import grid_top_k
 
 RESULT = "qid bigint, id bigint, dist double, rank int"
 PARTIAL = "qid bigint, id bigint, dist double, part int"
@@ -61,13 +62,13 @@ class QueryBlock:
 
 
 def over_query_blocks(queries: DataFrame, k: int, scan: Callable[[QueryBlock], DataFrame],
-                      tables: int = 1) -> DataFrame:
+                      tables: int = 1, beyond: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Run `scan(block)` for every block of `queries(qid, emb, ...)` and join the answers.
 
     One block is the normal case and stays lazy. A query set above the broadcast limit is cut
     into blocks by a hash of the query id; every block is a full parallel pass over the corpus
     whose answers go to the shared folder before the next block is fetched, so neither the
-    driver nor a task ever holds more than one block.
+    driver nor a task ever holds more than one block. `beyond` takes such query sets instead.
     """
     spark = queries.sparkSession
     # sized and then fetched, so that an expensive query set is computed once
@@ -78,6 +79,8 @@ def over_query_blocks(queries: DataFrame, k: int, scan: Callable[[QueryBlock], D
             return spark.createDataFrame([], RESULT)
         if blocks == 1:
             return scan(QueryBlock.fetch(cached))
+        if beyond is not None:
+            return beyond(cached)
         path = scratch_path(spark, "answers")
         for b in range(blocks):
             block = QueryBlock.fetch(cached.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b))
@@ -142,12 +145,14 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int = 100, metric: str = "L2
     """Exact k nearest rows of `corpus(id, emb)` for every row of `queries(qid, emb)`.
 
     `where` is applied to the corpus before the search, so k answers come back whenever that
-    many rows pass. HAMMING and JACCARD take packed byte codes.
+    many rows pass. HAMMING and JACCARD take packed byte codes. A query set above the broadcast
+    limit is searched as a grid of query and corpus blocks.
     """
     name = metric_of(metric).name
     rows = corpus if where is None else corpus.filter(where)
     return over_query_blocks(queries.select("qid", "emb"), k,
-                             lambda block: scan_corpus(rows, block.ids, Space(name, block.vectors), k))
+                             lambda block: scan_corpus(rows, block.ids, Space(name, block.vectors), k),
+                             beyond=lambda asked: grid_top_k(asked, rows, k, metric))
 
 
 def top_k_one(vector: list[float], corpus: DataFrame, k: int = 100, metric: str = "L2",

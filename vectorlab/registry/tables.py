@@ -103,20 +103,20 @@ def replace_and_append(spark, sf):
 
 # --- streaming ---------------------------------------------------------------------------------------
 
-PARTS = 5
+PARTS, FILES = 5, 4
 
 
 def _ingest(spark, sf, stages=(0.8, 0.5), k: int = 10):
-    """A finished streaming run over the corpus, written in five files of id ranges."""
+    """A finished streaming run over the corpus, which comes in five deliveries of id ranges, each of several files."""
     c = corpus(spark, sf).select("id", "emb")
     parts, size = _slices(c, PARTS)
     root = scratch_path(spark, "stream")
-    for part in parts:
-        part.coalesce(1).write.mode("append").parquet(f"{root}/source")
     q = materialise(profiles(spark, sf), "queries")
     truth = materialise(S.ground_truth(q, c, k), "truth") if stages else SRC.empty(spark, SRC.TRUTH)
     run = StagedIngest(spark, f"{root}/run", q, truth, c.count(), size, stages, k)
-    run.run(f"{root}/source")
+    for part in parts:
+        part.repartition(FILES).write.mode("append").parquet(f"{root}/source")
+        run.run(f"{root}/source", None)
     return run
 
 

@@ -10,6 +10,7 @@ from ..operators import filters as FL
 from ..operators import quantise as QZ
 from ..operators import search as S
 from ..operators import vectors as VV
+from ..operators.grid import grid_top_k
 from ..plans import ivf
 from ..session import scratch_path
 from ..sources import corpus as SRC
@@ -297,9 +298,18 @@ _SELF = "q AS (SELECT id AS qid, emb FROM c)"
 
 @query("j1_top_k_every_row_as_query", top_sql(L2, ctes=f"{SC}, {_SELF}"))
 def top_k_self(spark, sf):
-    """Every corpus row asks; a query set above the broadcast limit is worked off in blocks."""
+    """Every corpus row asks; queries and rows meet in a grid of blocks and never pass the driver."""
     c = scaled(spark, sf)
-    return answer(S.top_k(c.select(F.col("id").alias("qid"), "emb"), c, 10, "L2"))
+    return answer(grid_top_k(c.select(F.col("id").alias("qid"), "emb"), c, 10, "L2"))
+
+
+@query("j2_ground_truth_of_every_row", f"""SELECT qid AS id, rank AS position, id AS neighbor FROM ({top_sql(COS, ctes=f"{SC}, {_SELF}")})""")
+def whole_truth(spark, sf):
+    """Exact neighbours of every corpus row, as lists."""
+    c = scaled(spark, sf)
+    truth = S.answer_lists(grid_top_k(c.select(F.col("id").alias("qid"), "emb"), c, 10, "COSINE", block_bytes=1 << 15), ids="neighbors_id")
+    return truth.select(F.col("qid").alias("id"), F.posexplode("neighbors_id").alias("p", "neighbor")).select(
+        "id", (F.col("p") + 1).cast("bigint").alias("position"), "neighbor")
 
 
 @query("t1_top_100_default", top_sql(L2, k=100))
