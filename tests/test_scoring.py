@@ -168,3 +168,25 @@ def test_stage_arithmetic(spark):
         return round(left / 2, 4)
 
     assert got == [budget(0.5, 0.8), budget(0.8, 1.0)]
+
+
+@pytest.mark.parametrize("name", ["distinct", "few", "one", "signs"])
+def test_percentiles_of_one_group_of_all_rows(spark, name, monkeypatch):
+    """More rows than a list holds: all distinct, few values, a single value, and signs, zeros and extremes."""
+    rng = np.random.default_rng(12)
+    x = {"distinct": rng.normal(size=20_000) * 10.0 ** rng.integers(-200, 200, 20_000), "few": rng.integers(0, 3, 20_000) * 0.1,
+         "one": np.full(20_000, 7.25), "signs": rng.choice([0.0, -0.0, -1.5, 1e-320, -1e-320, 1e300, -1e300], 20_000)}[name]
+    monkeypatch.setattr(P, "FEW", 50)
+    rows = [(None, float(v)) for v in x] + [("small", 1.0), ("small", 2.0), ("small", float("nan")), ("small", None), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    levels = [0.0, 0.001, 0.25, 0.5, 0.95, 0.99, 1.0]
+    found = P.exact_percentiles(df, ["g"], "v", levels)
+    got = {(r["g"], r["level"]): (r["n"], r["percentile"]) for r in found.collect()}
+    order = np.sort(x + 0.0)
+    for p in levels:
+        at = (len(x) - 1) * p
+        low, high = order[int(np.floor(at))], order[int(np.ceil(at))]
+        assert got[None, p] == (len(x), low + (high - low) * (at - np.floor(at)))
+        assert got["small", p] == (2, 1.0 + p)
+    assert len(got) == 2 * len(levels)
+    assert "Window" not in found._jdf.queryExecution().toString()

@@ -1,60 +1,107 @@
-"""Exact interpolated percentiles per group without gathering a group in one task."""
+"""Exact interpolated percentiles per group by radix selection, without gathering or ordering a group."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import materialise
+from ..session import broadcast_if_small, materialise
 
-ACCURACY = 10_000
-MARGIN = 4.0 / ACCURACY
+DIGIT = 16
+#: Ranges with at most this many rows are looked through as a list.
+FEW = 4096
+LOW = np.int64(0x7FFFFFFFFFFFFFFF)
+
+
+@F.arrow_udf(T.LongType())
+def _order(values: pa.Array) -> pa.Array:
+    """The bits of doubles as integers in the order of the doubles; -0.0 counts as 0.0."""
+    bits = (values.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0).view(np.int64)
+    return pa.array(np.where(bits < 0, bits ^ LOW, bits))
+
+
+@F.arrow_udf(T.DoubleType())
+def _value(codes: pa.Array) -> pa.Array:
+    bits = codes.to_numpy(zero_copy_only=False).astype(np.int64)
+    return pa.array(np.where(bits < 0, bits ^ LOW, bits).view(np.float64))
+
+
+def _other(df: DataFrame, keys: list[str], *rest: str) -> DataFrame:
+    """Key and range columns under other names, for a join on them."""
+    return df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("range").alias("_range"), *rest)
+
+
+def _same(keys: list[str]) -> Column:
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return same
+
+
+def _found(entries: Column, rank: Column) -> Column:
+    """(code, before, n) of the entry of an ordered list of (code, n) that holds a rank, counted from the list's start."""
+    start = F.struct(F.lit(0).cast("bigint").alias("upto"), F.lit(None).cast("bigint").alias("code"), F.lit(0).cast("bigint").alias("n"))
+
+    def step(acc, e):
+        here = acc["code"].isNull() & (acc["upto"] + e["n"] > rank)
+        return F.when(acc["code"].isNotNull(), acc).when(here, F.struct(acc["upto"].alias("upto"), e["code"].alias("code"), e["n"].alias("n"))).otherwise(
+            F.struct((acc["upto"] + e["n"]).alias("upto"), F.lit(None).cast("bigint").alias("code"), F.lit(0).cast("bigint").alias("n")))
+
+    return F.aggregate(entries, start, step)
+
+
+def _refined(rows: DataFrame, targets: DataFrame, keys: list[str], shift: int | None, child: Column, brackets: int) -> DataFrame:
+    """Targets narrowed to the child code that holds their rank. `shift` makes a row's code that of its range, None for all."""
+    held = broadcast_if_small(_other(targets.select(*keys, "range").distinct(), keys), brackets, 64 * (len(keys) + 1))
+    inside = F.lit(True) if shift is None else F.shiftright("_code", shift) == F.col("_range")
+    met = rows.join(held, _same(keys) & inside)
+    counts = met.groupBy(*keys, F.col("_range").alias("range"), child.alias("code")).agg(F.count(F.lit(1)).alias("n"))
+    lists = counts.groupBy(*keys, "range").agg(F.array_sort(F.collect_list(F.struct("code", "n"))).alias("entries"))  # at most 2^DIGIT or FEW
+    joined = targets.join(_other(lists, keys, "entries"), _same(keys) & (F.col("range") == F.col("_range")))
+    found = joined.withColumn("_f", _found(F.col("entries"), F.col("rank") - F.col("before")))
+    return found.select(*keys, "total", "rank", F.col("_f.code").alias("range"), (F.col("before") + F.col("_f.upto")).alias("before"), F.col("_f.n").alias("n"))
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, levels: list[float]) -> DataFrame:
-    """(keys, level, n, percentile) with linear interpolation between order statistics.
+    """(keys, level, n, percentile) with linear interpolation between order statistics; nulls and NaN are left out.
 
-    Pass 1 keeps a mergeable sketch per group and brackets every level. Pass 2 counts what lies
-    below a bracket and keeps only the distinct values inside it, counted before the shuffle. So
-    a group with a third of all rows costs sketches and a thin slice of its values, and the
-    result is still exact: a bracket that missed its rank is an error, not a wrong number.
+    Doubles are turned into integers of the same order. A pass counts, for each range that holds a wanted rank, the
+    rows of its 2^16 parts; the counts are added up before the shuffle and say which part holds the rank. Four passes
+    at most find the value itself; a range with few rows is looked through at once. So a group of any size costs
+    histograms of bounded length, whether its values are all equal or all distinct.
     """
     if not keys:
         whole = exact_percentiles(df.withColumn("_all", F.lit(1)), ["_all"], value, levels)
         return whole.drop("_all")
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(
-        F.col("_v").isNotNull() & ~F.isnan("_v"))
-    probes = [max(0.0, p - MARGIN) for p in levels] + [min(1.0, p + MARGIN) for p in levels]
-    sketch = rows.groupBy(*keys).agg(
-        F.percentile_approx("_v", F.array(*[F.lit(p) for p in probes]), F.lit(ACCURACY)).alias("_s"),
-        F.count("_v").alias("n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
-
-    def bracket(i: int, p: float):
-        # in a small group the margin is less than a rank, so its whole range is the bracket
-        small = F.col("n") <= ACCURACY
-        low = F.col("_min") if p - MARGIN <= 0 else F.when(small, F.col("_min")).otherwise(F.col("_s")[i])
-        high = F.col("_max") if p + MARGIN >= 1 else F.when(small, F.col("_max")).otherwise(F.col("_s")[len(levels) + i])
-        rank = (F.col("n") - 1) * F.lit(float(p))
-        return F.struct(F.lit(float(p)).alias("level"), rank.alias("rank"), low.alias("low"), high.alias("high"))
-
-    brackets = materialise(
-        sketch.select(*keys, "n", F.array(*[bracket(i, p) for i, p in enumerate(levels)]).alias("_b")), "brackets")
-    joined = rows.join(brackets, keys)
-    spread = joined.select(*keys, "n", "_v", F.explode("_b").alias("_b")).filter(F.col("_v") <= F.col("_b.high"))
-    inside = F.when(F.col("_v") >= F.col("_b.low"), F.col("_v"))
-    counted = spread.groupBy(*keys, "n", "_b", inside.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    order = Window.partitionBy(*keys, F.col("_b.level")).orderBy(F.col("_v").asc_nulls_first())
-    upto = counted.withColumn("_upto", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    lower, upper = F.floor("_b.rank"), F.ceil("_b.rank")
-
-    def at(rank):
-        return F.max(F.when((F.col("_upto") - F.col("_c") <= rank) & (rank < F.col("_upto")), F.col("_v")))
-
-    picked = upto.groupBy(*keys, F.col("_b.level").alias("level"), "n", F.col("_b.rank").alias("_rank")).agg(
-        at(lower).alias("_lo"), at(upper).alias("_hi"))
-    missed = F.raise_error(F.lit("percentile bracket missed its rank"))
-    result = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_rank") - F.floor("_rank"))
-    return picked.select(*keys, "level", "n", F.coalesce(result, missed.cast("double")).alias("percentile"))
+    number = F.col(value).cast("double")
+    rows = materialise(df.filter(number.isNotNull() & ~F.isnan(number)).select(*keys, _order(number).alias("_code")), "ordered")
+    sizes = materialise(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("total")), "sizes")
+    rank_of = [(F.col("total") - 1) * F.lit(float(p)) for p in levels]
+    wanted = F.array_distinct(F.array(*[f(r).cast("bigint") for r in rank_of for f in (F.floor, F.ceil)]))
+    targets = sizes.select(*keys, "total", F.explode(wanted).alias("rank"), F.lit(0).cast("bigint").alias("range"), F.lit(0).cast("bigint").alias("before"),
+                           F.col("total").alias("n"))
+    shift = 64
+    while True:
+        most = targets.agg(F.max("n"), F.count(F.lit(1))).first()
+        brackets = most[1]
+        if (most[0] or 0) <= FEW or shift == 0:
+            break
+        above = None if shift == 64 else shift
+        shift -= DIGIT
+        targets = materialise(_refined(rows, targets, keys, above, F.shiftright("_code", shift), brackets), "ranges")
+    if shift:
+        targets = _refined(rows, targets, keys, None if shift == 64 else shift, F.col("_code"), brackets)
+    values = targets.withColumn("v", _value("range")).groupBy(*keys, "total").agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"))
+
+    def picked(p: float, r: Column) -> Column:
+        low, high = (F.col("at")[f(r).cast("bigint")] for f in (F.floor, F.ceil))
+        return F.struct(F.lit(float(p)).alias("level"), (low + (high - low) * (r - F.floor(r))).alias("percentile"))
+
+    return (values.select(*keys, F.col("total").alias("n"), F.explode(F.array(*[picked(p, r) for p, r in zip(levels, rank_of)])).alias("_p"))
+            .select(*keys, "_p.level", "n", "_p.percentile"))
 
 
 def percentile_columns(df: DataFrame, keys: list[str], value: str, names: dict[str, float]) -> DataFrame:
