@@ -12,6 +12,7 @@ from ..operators import search as S
 from ..operators import vectors as VV
 from ..operators.grid import grid_top_k
 from ..plans import ivf
+from ..plans import rotated as RB
 from ..session import scratch_path
 from ..sources import corpus as SRC
 from .base import C, COS, IP, L2, Q, SC, answer, corpus, profiles, query, r6, scaled, top_sql
@@ -589,6 +590,30 @@ def ivf_bits(spark, sf):
     return answer(ivf.ivf_bit_top_k(profiles(spark, sf), coded, cents, 10, 3, 4))
 
 
+_ROTATED = f"""WITH {C}, {Q}, {_ASSIGN}, {_PROBE},
+turn AS (SELECT i, list(CASE WHEN (bit_count(i & j) + (j * (j + 1)) // 2) % 2 = 0 THEN 0.125::DOUBLE ELSE -0.125::DOUBLE END ORDER BY j) AS line
+FROM (SELECT unnest(range(0, 64)) AS i) a, (SELECT unnest(range(0, 64)) AS j) b GROUP BY i),
+res AS (SELECT c.id, a.list_id, [z[1] - z[2] for z in list_zip(c.emb, cent.emb)] AS v FROM c JOIN assigned a ON a.id = c.id JOIN cent ON cent.list_id = a.list_id),
+rc AS (SELECT id, list_id, list(list_inner_product(v, line) ORDER BY i) AS y FROM res, turn GROUP BY id, list_id),
+codes AS (SELECT id, list_id, [CASE WHEN x > 0 THEN 1::DOUBLE ELSE -1::DOUBLE END for x in y] AS bits, sqrt(list_inner_product(y, y)) AS size,
+list_sum([abs(x) for x in y]) / (8 * sqrt(list_inner_product(y, y))) AS fit FROM rc),
+qres AS (SELECT q.qid, cent.list_id, [z[1] - z[2] for z in list_zip(q.emb, cent.emb)] AS v FROM pr JOIN q USING (qid) JOIN cent USING (list_id) WHERE pr.r <= 3),
+rq AS (SELECT qid, list_id, list(list_inner_product(v, line) ORDER BY i) AS y FROM qres, turn GROUP BY qid, list_id),
+b AS (SELECT rq.qid, k.id, k.size * k.size + list_inner_product(rq.y, rq.y) - 2 * k.size * list_inner_product(rq.y, k.bits) / (8 * k.fit) AS est,
+2 * 1.9 * k.size * sqrt(list_inner_product(rq.y, rq.y)) * sqrt(greatest(0, 1 - k.fit * k.fit) / (k.fit * k.fit)) / sqrt(63) AS err FROM rq JOIN codes k USING (list_id)),
+kth AS (SELECT qid, est + err AS bound FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY est + err, id) AS r FROM b) WHERE r = 10),
+e AS (SELECT b.qid, b.id, {L2} AS dist FROM b JOIN kth USING (qid) JOIN q USING (qid) JOIN c USING (id) WHERE est - err <= bound),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, id) AS rank FROM e)
+SELECT qid, id, round(dist, 6) AS dist, rank FROM ranked WHERE rank <= 10"""
+
+
+@query("n5_ivf_rotated_bits", _ROTATED)
+def ivf_rotated_bits(spark, sf):
+    """1-bit codes under a rotation by rule; only rows whose bound beats the k-th best are compared exactly."""
+    search = RB.RotatedBits(nprobe=3, centroids=centroids(spark, sf), rotation=RB.hadamard_rotation(64))
+    return answer(search.search(profiles(spark, sf), search.build(corpus(spark, sf)), 10, "L2"))
+
+
 @query("n6_bits_and_rerank", _bit_rerank_sql("100", L2))
 def bits_and_rerank(spark, sf):
     from ..plans.performance import BitCodes
