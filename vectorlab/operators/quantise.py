@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import check_broadcast
+from ..session import check_broadcast, materialise
 from .blocks import matrix, nearest
 from .running import running_sum
 from .vectors import dimension_range
@@ -156,30 +156,69 @@ def decode_scalar(codes: Column, lo: np.ndarray, step: np.ndarray) -> Column:
     return F.zip_with(F.zip_with(codes.cast("array<double>"), steps, lambda c, s: c * s), lows, lambda a, b: a + b)
 
 
+def first_codebooks(df: DataFrame, m: int, codes: int, emb: str = "emb", by: str = "id", seed: int = 7) -> np.ndarray:
+    """(m, codes, dim/m) from the rows whose `by` has the smallest SHA-256 of `seed:by`; too few rows are repeated."""
+    rows = df.filter(F.col(emb).isNotNull()).select(F.sha2(F.concat(F.lit(f"{seed}:"), F.col(by).cast("string")), 256).alias("_h"), F.col(emb).alias("_v"))
+    x = matrix(rows.orderBy("_h", "_v").limit(codes).select("_v").toArrow().column(0))
+    if not len(x):
+        raise ValueError("no rows to train on")
+    if x.shape[1] % m:
+        raise ValueError(f"{m} sub-vectors do not divide {x.shape[1]} dimensions")
+    x = np.vstack([x, np.repeat(x[:1], codes - len(x), axis=0)])
+    return np.ascontiguousarray(x.reshape(codes, m, -1).transpose(1, 0, 2))
+
+
+def codebook_sums(df: DataFrame, books: np.ndarray, emb: str = "emb") -> DataFrame:
+    """(s, code, n, total): rows and component sums of every code of every sub-space, in one scan.
+
+    A task adds up its rows and sends at most one row per sub-space and code.
+    """
+    m, codes, width = books.shape
+    shared = df.sparkSession.sparkContext.broadcast(books)
+
+    def run(batches):
+        n, total = np.zeros((m, codes), np.int64), np.zeros((m, codes, width))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = matrix(batch.column(0)).reshape(batch.num_rows, m, width)
+            for s, book in enumerate(shared.value):
+                code = nearest(book, x[:, s])
+                n[s] += np.bincount(code, minlength=codes)
+                for d in range(width):
+                    total[s, :, d] += np.bincount(code, x[:, s, d], minlength=codes)
+        s, code = np.nonzero(n)
+        offsets = pa.array((np.arange(len(s) + 1) * width).astype(np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(s.astype(np.int32)), pa.array(code.astype(np.int32)), pa.array(n[s, code]), pa.ListArray.from_arrays(offsets, pa.array(total[s, code].ravel()))],
+            ["s", "code", "n", "total"])
+
+    parts = df.filter(F.col(emb).isNotNull()).select(emb).mapInArrow(run, "s int, code int, n bigint, total array<double>")
+    return parts.groupBy("s", "code").agg(F.sum("n").alias("n"), F.array(*[F.sum(F.col("total")[d]) for d in range(width)]).alias("total"))
+
+
 def fit_codebooks(df: DataFrame, m: int, nbits: int = 8, emb: str = "emb", fraction: float = 1.0, seed: int = 7,
-                  iterations: int = 10) -> np.ndarray:
-    """(m, 2^nbits, dim/m) codebooks by k-means per sub-space on a training share of the corpus.
+                  iterations: int = 10, by: str = "id") -> np.ndarray:
+    """(m, 2^nbits, dim/m) codebooks by k-means steps in all sub-spaces at once on a training share of the corpus.
 
-    A training share is kept between the sub-spaces; the whole corpus is scanned again for each.
+    Every iteration is one scan and one aggregate whose size is that of the codebooks. The first codes are rows chosen
+    by rule, a code without rows keeps its place, and the steps end when nothing moves. A share is written once.
     """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    dim = df.filter(F.col(emb).isNotNull()).select(F.size(emb)).first()[0]
-    if dim % m:
-        raise ValueError(f"{m} sub-vectors do not divide {dim} dimensions")
-    width = dim // m
-    train = df if fraction >= 1.0 else df.sample(fraction=fraction, seed=seed).persist()
-    books = []
-    for s in range(m):
-        part = train.select(array_to_vector(F.slice(F.col(emb).cast("array<double>"), s * width + 1, width)).alias("features"))
-        centers = np.array(KMeans(k=2**nbits, seed=seed, maxIter=iterations).fit(part).clusterCenters())
-        # fewer centres than codes when the share has few distinct rows: repeat the first
-        missing = 2**nbits - len(centers)
-        books.append(np.vstack([centers, np.repeat(centers[:1], missing, axis=0)]) if missing else centers)
+    train = df.select(by, emb)
     if fraction < 1.0:
-        train.unpersist()
-    return np.stack(books)
+        train = materialise(train.sample(fraction=fraction, seed=seed), "training-share")
+    books = first_codebooks(train, m, 2**nbits, emb, by, seed)
+    check_broadcast(df.sparkSession, 2 * books.nbytes, "codebooks")
+    for _ in range(iterations):
+        table = codebook_sums(train, books, emb).toArrow()  # no more rows than codes
+        s, code, n = (table.column(c).to_numpy() for c in ("s", "code", "n"))
+        moved = books.copy()
+        if len(s):
+            moved[s, code] = matrix(table.column("total")) / n[:, None]
+        if np.array_equal(moved, books):
+            break
+        books = moved
+    return books
 
 
 def product_codes(df: DataFrame, codebooks: np.ndarray, keep: list[str] | None = None, emb: str = "emb",

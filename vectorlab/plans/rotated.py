@@ -7,8 +7,9 @@ is estimated as the cosine to the row's signs divided by `fit`; this has no bias
     epsilon * sqrt((1 - fit^2) / fit^2) / sqrt(dim - 1)
 
 only seldom (epsilon 1.9: about one in twenty, errors on either side together). So every row has an estimate between a
-lower and an upper bound. The k-th smallest upper bound of a query holds k rows below it, and only rows whose lower bound does not
-exceed it are compared exactly. Their number follows from the data and needs no refine factor.
+lower and an upper bound. The k rows with the smallest estimates are compared first; the worst of their true distances
+bounds the k-th best, and only rows whose lower bound does not exceed it are compared besides. Their number follows from
+the data and needs no refine factor.
 
 The scan reads ids, bits and two numbers of the probed lists; `emb` is read for the rows that remain, from lists that
 hold one. Tasks keep k upper bounds per query and the rows that may still matter.
@@ -139,11 +140,17 @@ def _scan(vectors: np.ndarray, ids: np.ndarray, probes: dict[int, np.ndarray], c
     return run
 
 
-def bounded_candidates(partial: DataFrame, k: int) -> DataFrame:
-    """(qid, id, list_id) of rows whose lower bound doesn't exceed the k-th smallest upper bound of their query."""
-    near = partial.withColumn("_r", S.rank_within(["qid", "part"], "upper")).filter(F.col("_r") <= k)
-    near = near.withColumn("_r", S.rank_within(["qid"], "upper")).filter(F.col("_r") == k)
-    bound = near.select(F.col("qid").alias("_q"), F.col("upper").alias("_bound"))
+def likely(partial: DataFrame, k: int) -> DataFrame:
+    """(qid, id, list_id) of the k smallest estimates of each query."""
+    near = partial.withColumn("estimate", F.col("lower") + F.col("upper"))
+    for within in (["qid", "part"], ["qid"]):
+        near = near.withColumn("_r", S.rank_within(within, "estimate")).filter(F.col("_r") <= k)
+    return near.select("qid", "id", "list_id")
+
+
+def unsettled(partial: DataFrame, first: DataFrame, k: int) -> DataFrame:
+    """(qid, id, list_id) of rows whose lower bound doesn't exceed the k-th of the true distances `first(qid, dist, rank)`."""
+    bound = first.filter(F.col("rank") == k).select(F.col("qid").alias("_q"), (F.col("dist") * F.col("dist")).alias("_bound"))
     joined = partial.join(bound, F.col("qid") == F.col("_q"), "left")
     return joined.filter(F.col("_bound").isNull() | (F.col("lower") <= F.col("_bound"))).select("qid", "id", "list_id")
 
@@ -157,9 +164,11 @@ def rotated_top_k(queries: DataFrame, coded: DataFrame, centroids: Centroids, ro
         probes = _probe_table(block.vectors, centroids, nprobe)
         probed = rows.filter(F.col("list_id").isin(list(probes))).select("id", "list_id", "code", "size", "fit")
         partial = materialise(probed.mapInArrow(_scan(block.vectors, block.ids, probes, centroids, rotation, k, epsilon), CANDIDATES), "bounded")
-        chosen = materialise(bounded_candidates(partial, k), "candidates")
+        full = rows.filter(F.col("list_id").isin(list(probes))).select("id", "emb", "list_id")
+        first = S.rerank(queries, full, likely(partial, k), k, "L2", len(block.ids) * k, ("list_id",))
+        chosen = materialise(unsettled(partial, first, k), "candidates")
         lists = [r[0] for r in chosen.select("list_id").distinct().collect()]  # at most the probed lists
-        held = rows.filter(F.col("list_id").isin(lists)).select("id", "emb", "list_id")
+        held = full.filter(F.col("list_id").isin(lists))
         return S.rerank(queries, held, chosen, k, "L2", chosen.count(), ("list_id",))
 
     return S.over_query_blocks(queries.select("qid", "emb"), k, scan)

@@ -16,6 +16,7 @@ from ..plans import cases as CS
 from ..session import scratch_path
 from ..sources import corpus as SRC
 from ..sources import results as RS
+from ..sources.versioned import VersionedTable
 from .base import query, r6, table
 
 # expressions that read the same in both dialects
@@ -677,13 +678,35 @@ def manifest_diff(spark, sf):
     return SRC.size_mismatches(remote, local)
 
 
-@query("s11_upsert", """WITH old AS (SELECT o_orderkey AS id, o_totalprice AS price, 1 AS version FROM orders), new AS (SELECT o_orderkey AS id, o_totalprice * 2 AS price, 2 AS version FROM orders WHERE o_orderpriority = '1-URGENT'
+_UPSERT = """WITH old AS (SELECT o_orderkey AS id, o_totalprice AS price, 1 AS version FROM orders), new AS (SELECT o_orderkey AS id, o_totalprice * 2 AS price, 2 AS version FROM orders WHERE o_orderpriority = '1-URGENT'
 UNION ALL SELECT o_orderkey + (SELECT max(o_orderkey) + 1 FROM orders), o_totalprice, 2 FROM orders WHERE o_orderpriority = '5-LOW'),
-b AS (SELECT * FROM old UNION ALL SELECT * FROM new) SELECT id, round(arg_max(price, version), 6) AS price, max(version)::BIGINT AS version FROM b GROUP BY id""")
+b AS (SELECT * FROM old UNION ALL SELECT * FROM new) SELECT id, round(arg_max(price, version), 6) AS price, max(version)::BIGINT AS version FROM b GROUP BY id"""
+
+
+@query("s11_upsert", _UPSERT)
 def upsert(spark, sf):
+    old, new = _versions(spark, sf)
+    return SRC.newest_per_id(old, new).select("id", r6("price", "price"), "version")
+
+
+def _versions(spark, sf):
+    """Stored orders and a delivery that changes some and adds others."""
     o = orders(spark, sf)
     old = o.select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"), F.lit(1).cast("bigint").alias("version"))
     shift = o.agg(F.max("o_orderkey")).first()[0] + 1
     changed = o.filter("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("id"), (F.col("o_totalprice") * 2).alias("price"), F.lit(2).cast("bigint").alias("version"))
     added = o.filter("o_orderpriority = '5-LOW'").select((F.col("o_orderkey") + shift).alias("id"), F.col("o_totalprice").alias("price"), F.lit(2).cast("bigint").alias("version"))
-    return SRC.newest_per_id(old, changed.unionByName(added)).select("id", r6("price", "price"), "version")
+    return old, changed.unionByName(added)
+
+
+@query("s11_upsert_in_place", _UPSERT)
+def upsert_in_place(spark, sf):
+    """The delivery comes in two parts, the second of them twice; buckets without new rows keep their files."""
+    old, new = _versions(spark, sf)
+    stored = VersionedTable(spark, scratch_path(spark, "versioned"))
+    stored.create(old, 8)
+    first = F.col("id") % 2 == 0
+    stored.upsert(new.where(first), "version", "first")
+    for _ in range(2):
+        stored.upsert(new.where(~first), "version", "second")
+    return stored.read().select("id", r6("price", "price"), "version")

@@ -13,6 +13,7 @@ from ..operators import search as S
 from ..plans import performance as PF
 from ..session import materialise, scratch_path
 from ..sources import corpus as SRC
+from ..sources.versioned import VersionedTable
 from ..streaming.ingest import StagedIngest
 from .base import C, L2, Q, corpus, profiles, query, r6, table, top_sql
 from .vectors import SHARE_SQL, _CENTRES, centroids, share_labels
@@ -182,6 +183,19 @@ def layout_job(spark, sf):
     return S.top_k(profiles(spark, sf), stored, 10).select("qid", "id", F.col("rank").cast("bigint").alias("rank"))
 
 
+@query("n10_compaction", f"SELECT qid, id, rank FROM ({top_sql(L2)})")
+def compaction(spark, sf):
+    """A table that grew by five upserts, its small files joined, answers as before."""
+    c = corpus(spark, sf).select("id", "emb")
+    parts, _ = _slices(c, PARTS)
+    stored = VersionedTable(spark, scratch_path(spark, "grown"))
+    stored.create(parts[0], 4)
+    for i, part in enumerate(parts[1:]):
+        stored.upsert(part, token=str(i))
+    stored.compact()
+    return S.top_k(profiles(spark, sf), stored.read(), 10).select("qid", "id", F.col("rank").cast("bigint").alias("rank"))
+
+
 def _sweep_sql(probes: str) -> str:
     return f"""{_CENTRES}, al AS (SELECT c.id, arg_min(cent.list_id, (list_distance(c.emb, cent.emb), cent.list_id)) AS list_id FROM c, cent GROUP BY c.id),
 pr AS (SELECT q.qid, cent.list_id, row_number() OVER (PARTITION BY q.qid ORDER BY list_distance(q.emb, cent.emb), cent.list_id) AS r FROM q, cent),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import metrics as M
@@ -15,6 +16,7 @@ from ..plans import ivf
 from ..plans import rotated as RB
 from ..session import scratch_path
 from ..sources import corpus as SRC
+from ..sources import lookup as LK
 from .base import C, COS, IP, L2, Q, SC, answer, corpus, profiles, query, r6, scaled, top_sql
 
 
@@ -250,15 +252,37 @@ def product_codes(spark, sf):
                         _weighted(F.col("emb")).cast("bigint").alias("mark"))
 
 
-@query("p16_product_codebook_training")
+def _trained_sql(iterations: int) -> str:
+    """Codebooks of 4 sub-spaces with 8 codes: rows by rule, then means of the assigned sub-vectors."""
+    steps = "".join(f""",
+g{i} AS (SELECT x.id, x.s, x.v, arg_min(b.code, (list_distance(x.v, b.v), b.code)) AS code FROM x JOIN k{i} b USING (s) GROUP BY x.id, x.s, x.v),
+p{i} AS (SELECT s, code, unnest(v) AS y, generate_subscripts(v, 1) AS d FROM g{i}),
+a{i} AS (SELECT s, code, d, avg(y) AS y FROM p{i} GROUP BY s, code, d),
+k{i + 1} AS (SELECT s, code, list(y ORDER BY d) AS v FROM a{i} GROUP BY s, code
+UNION ALL SELECT s, code, v FROM k{i} WHERE (s, code) NOT IN (SELECT (s, code) FROM a{i}))""" for i in range(iterations))
+    return f"""WITH {C}, part AS (SELECT unnest(range(0, 4)) AS s), x AS (SELECT id, s, emb[16 * s + 1 : 16 * s + 16] AS v FROM c, part),
+seeds AS (SELECT id, row_number() OVER (ORDER BY sha256('7:' || CAST(id AS VARCHAR)), id) - 1 AS code FROM c),
+k0 AS (SELECT s, code, v FROM seeds JOIN x USING (id) WHERE code < 8){steps}"""
+
+
+@query("p16_product_codebook_training", f"""{_trained_sql(3)}, coded AS (SELECT x.id, x.s, arg_min(b.code, (list_distance(x.v, b.v), b.code)) AS code FROM x JOIN k3 b USING (s) GROUP BY x.id, x.s)
+SELECT id, sum(code)::BIGINT AS total FROM coded GROUP BY id""")
 def product_training(spark, sf):
-    """k-means codebooks; the answers depend on the seeded training, so only row counts are fixed."""
+    """Codes under codebooks trained in three iterations from rows chosen by rule."""
     c = corpus(spark, sf)
     books = QZ.fit_codebooks(c, 4, 3, iterations=3)
     codes = QZ.product_codes(c, books)
     return codes.select("id", _total(V.as_double(F.col("emb"))).cast("bigint").alias("total"))
 
 
+@query("p16_trained_codebooks", f"""{_trained_sql(3)} SELECT s::BIGINT AS s, code::BIGINT AS code, d::BIGINT AS d, round(y, 6) AS value
+FROM (SELECT s, code, unnest(v) AS y, generate_subscripts(v, 1) - 1 AS d FROM k3)""")
+def trained_codebooks(spark, sf):
+    books = QZ.fit_codebooks(corpus(spark, sf), 4, 3, iterations=3)
+    rows = [(s, code, d, float(books[s, code, d])) for s, code, d in np.ndindex(books.shape)]
+    return spark.createDataFrame(rows, "s bigint, code bigint, d bigint, value double").withColumn("value", r6("value"))
+
+
 @query("p18_replicate_corpus", """WITH n AS (SELECT count(*) AS n FROM embeddings)
 SELECT vec_id + k * n AS id, label::BIGINT AS label FROM embeddings, n, (SELECT unnest(range(0, 3)) AS k)""")
 def replicate(spark, sf):
@@ -426,18 +450,30 @@ def attach_labels(spark, sf):
     return rows.groupBy("labels").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("total"))
 
 
-@query("j5_rerank_candidates", f"""WITH {C}, {Q}, {BC}, {BQ},
+_RERANKED = f"""WITH {C}, {Q}, {BC}, {BQ},
 s AS (SELECT q.qid, c.id, {HAM} AS d FROM qb q, cb c),
 w AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d, id) AS r FROM s),
 e AS (SELECT w.qid, w.id, {L2} AS dist FROM w JOIN q USING (qid) JOIN c USING (id) WHERE r <= 50),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, id) AS rank FROM e)
-SELECT qid, id, round(dist, 6) AS dist, rank FROM ranked WHERE rank <= 10""")
+SELECT qid, id, round(dist, 6) AS dist, rank FROM ranked WHERE rank <= 10"""
+
+
+@query("j5_rerank_candidates", _RERANKED)
 def rerank_candidates(spark, sf):
     q, c = profiles(spark, sf), corpus(spark, sf)
     wide = S.top_k(QZ.bit_codes(q, ["qid"]), QZ.bit_codes(c), 50, "HAMMING")
     return answer(S.rerank(q, c, wide, 10, "L2", q.count() * 50))
 
 
+@query("j5_rerank_by_lookup", _RERANKED)
+def rerank_by_lookup(spark, sf):
+    """The same candidates looked up in a table sorted by id."""
+    q, c = profiles(spark, sf), corpus(spark, sf).select("id", "emb")
+    stored = LK.write_lookup(c, scratch_path(spark, "lookup"), files=4)
+    wide = S.top_k(QZ.bit_codes(q, ["qid"]), QZ.bit_codes(c), 50, "HAMMING")
+    return answer(LK.rerank_by_lookup(q, stored, wide, 10, "L2"))
+
+
 _RADIUS = f"""WITH {C}, {Q}, s AS (SELECT q.qid, c.id, {L2} AS dist FROM q, c),
 r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, id) AS rank FROM s WHERE dist <= 0.95)
 SELECT qid, id, round(dist, 6) AS dist, rank, count(*) OVER (PARTITION BY qid) >= 5 AS enough FROM r WHERE rank <= 20"""
@@ -601,7 +637,8 @@ qres AS (SELECT q.qid, cent.list_id, [z[1] - z[2] for z in list_zip(q.emb, cent.
 rq AS (SELECT qid, list_id, list(list_inner_product(v, line) ORDER BY i) AS y FROM qres, turn GROUP BY qid, list_id),
 b AS (SELECT rq.qid, k.id, k.size * k.size + list_inner_product(rq.y, rq.y) - 2 * k.size * list_inner_product(rq.y, k.bits) / (8 * k.fit) AS est,
 2 * 1.9 * k.size * sqrt(list_inner_product(rq.y, rq.y)) * sqrt(greatest(0, 1 - k.fit * k.fit) / (k.fit * k.fit)) / sqrt(63) AS err FROM rq JOIN codes k USING (list_id)),
-kth AS (SELECT qid, est + err AS bound FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY est + err, id) AS r FROM b) WHERE r = 10),
+kth AS (SELECT n.qid, max(power({L2}, 2)) AS bound FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY est, id) AS r FROM b) n
+JOIN q USING (qid) JOIN c USING (id) WHERE r <= 10 GROUP BY n.qid),
 e AS (SELECT b.qid, b.id, {L2} AS dist FROM b JOIN kth USING (qid) JOIN q USING (qid) JOIN c USING (id) WHERE est - err <= bound),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, id) AS rank FROM e)
 SELECT qid, id, round(dist, 6) AS dist, rank FROM ranked WHERE rank <= 10"""
