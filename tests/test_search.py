@@ -195,12 +195,26 @@ def test_probing_every_list_equals_flat_and_recall_grows(c, q, lists):
 def test_coded_lists(spark, c, q, lists):
     table, cents = lists
     exact = found(S.top_k(q, c, 10))
-    assert recall(found(ivf.ivf_scalar_top_k(q, table, cents, 10, 8)), exact) > 0.95
+    stored = ivf.store_scalar_lists(c, cents, scratch_path(spark, "scalar-lists"))
+    assert recall(found(ivf.ivf_scalar_top_k(q, stored, cents, 10, 8)), exact) > 0.95
     coded = ivf.write_lists(ivf.residual_codes(c, cents), scratch_path(spark, "bits"))
     assert found(ivf.ivf_bit_top_k(q, coded, cents, 10, 8, 40)) == exact
     books = QZ.fit_codebooks(c, 6, 5, iterations=4)
-    assert found(ivf.ivf_product_top_k(q, table, cents, 10, 8, books)) == found(
+    products = ivf.store_product_lists(c, cents, books, scratch_path(spark, "product-lists"))
+    assert found(ivf.ivf_product_top_k(q, products, cents, 10, 8, books)) == found(
         S.product_top_k(q, QZ.product_codes(c, books), books, 10))
+    for got in (ivf.ivf_scalar_top_k(q, stored, cents, 10, 2), ivf.ivf_product_top_k(q, products, cents, 10, 2, books)):
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        scan = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+        assert "list_id" in scan.split("PartitionFilters")[1].split("]")[0]  # unprobed lists are not read
+
+
+def test_scalar_codes_are_stored_once(spark, c, q):
+    exact = found(S.top_k(q, c, 10))
+    stored, decode = ivf.store_scalar_codes(c, scratch_path(spark, "scalar"))
+    assert found(ivf.scalar_top_k(q, stored, 10, 3.0, decode=decode)) == exact == found(ivf.scalar_top_k(q, c, 10, 3.0))
+    coarse = ivf.scalar_top_k(q, stored, 10, 1, rescore=False, decode=decode)
+    assert "emb" not in coarse._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1].split("\n")[0]
 
 
 def test_centroids_above_the_limit_are_refused(spark, c):

@@ -121,13 +121,21 @@ def test_compaction_plan(spark):
 # --- lookups
 
 def rows_scanned(df):
-    """Rows that the scan handed on."""
+    """Rows that the file scans of a plan handed on."""
     df.collect()
-    plan = df._jdf.queryExecution().executedPlan()
-    while plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
-        plan = plan.executedPlan()
-    leaves = plan.collectLeaves()
-    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+    def total(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "FileSourceScanExec":
+            return node.metrics().apply("numOutputRows").value()
+        if kind == "AdaptiveSparkPlanExec":
+            return total(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return total(node.plan())
+        below = node.children()
+        return sum(total(below.apply(i)) for i in range(below.size()))
+
+    return total(df._jdf.queryExecution().executedPlan())
 
 
 @pytest.fixture(scope="module")

@@ -62,7 +62,7 @@ class QueryBlock:
 
 
 def over_query_blocks(queries: DataFrame, k: int, scan: Callable[[QueryBlock], DataFrame],
-                      tables: int = 1, beyond: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                      tables: int = 1, beyond: Callable[[DataFrame], DataFrame] | None = None, schema: str = RESULT) -> DataFrame:
     """Run `scan(block)` for every block of `queries(qid, emb, ...)` and join the answers.
 
     One block is the normal case and stays lazy. A query set above the broadcast limit is cut
@@ -76,7 +76,7 @@ def over_query_blocks(queries: DataFrame, k: int, scan: Callable[[QueryBlock], D
     try:
         blocks, n = query_blocks(cached, k, tables=tables)
         if n == 0:
-            return spark.createDataFrame([], RESULT)
+            return spark.createDataFrame([], schema)
         if blocks == 1:
             return scan(QueryBlock.fetch(cached))
         if beyond is not None:
@@ -86,7 +86,7 @@ def over_query_blocks(queries: DataFrame, k: int, scan: Callable[[QueryBlock], D
             block = QueryBlock.fetch(cached.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b))
             if len(block.ids):
                 scan(block).write.mode("append").parquet(path)
-        return spark.read.schema(RESULT).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     finally:
         cached.unpersist()
 
@@ -168,7 +168,11 @@ def top_k_one(vector: list[float], corpus: DataFrame, k: int = 100, metric: str
 def radius_search(queries: DataFrame, corpus: DataFrame, radius: float, num: int, min_num: int = 0,
                   metric: str = "L2", where: Column | None = None) -> DataFrame:
     """Up to `num` rows within `radius`; `enough` tells whether a query found at least `min_num`."""
-    near = top_k(queries, corpus, num, metric, where).filter(F.col("dist") <= radius)
+    return within_radius(top_k(queries, corpus, num, metric, where), radius, min_num)
+
+
+def within_radius(answers: DataFrame, radius: float, min_num: int) -> DataFrame:
+    near = answers.filter(F.col("dist") <= radius)
     hits = F.count(F.lit(1)).over(Window.partitionBy("qid"))
     return near.withColumn("enough", hits >= min_num)
 

@@ -121,19 +121,35 @@ def ivf_top_k(queries: DataFrame, lists: DataFrame, centroids: Centroids, k: int
     return S.over_query_blocks(queries.select("qid", "emb"), k, scan)
 
 
-def ivf_scalar_top_k(queries: DataFrame, lists: DataFrame, centroids: Centroids, k: int, nprobe: int,
-                     bits: int = 8) -> DataFrame:
-    """IVF over scalar codes: distances are taken to the decoded vectors."""
-    lo, hi = range_arrays(fit_scalar(lists))
-    coded = scalar_codes(lists, lo, hi, bits, keep=["id", "list_id"])
-    return ivf_top_k(queries, coded, centroids, k, nprobe, decode=(lo, scalar_steps(lo, hi, bits)))
+@dataclass
+class ScalarLists:
+    """Scalar codes stored by list, and what turns them back into vectors."""
+
+    table: DataFrame
+    decode: tuple[np.ndarray, np.ndarray]
+
+
+def store_scalar_lists(corpus: DataFrame, centroids: Centroids, path: str, bits: int = 8) -> ScalarLists:
+    """Encode a corpus once, in lists: (id, emb, list_id) with codes for `emb`."""
+    lo, hi = range_arrays(fit_scalar(corpus))
+    coded = scalar_codes(assign(corpus.select("id", "emb"), centroids), lo, hi, bits, keep=["id", "list_id"])
+    return ScalarLists(write_lists(coded, path), (lo, scalar_steps(lo, hi, bits)))
+
+
+def ivf_scalar_top_k(queries: DataFrame, stored: ScalarLists, centroids: Centroids, k: int, nprobe: int, metric: str = "L2") -> DataFrame:
+    """IVF over stored scalar codes: distances are taken to the decoded vectors, and only probed lists are read."""
+    return ivf_top_k(queries, stored.table, centroids, k, nprobe, metric, stored.decode)
+
 
+def store_product_lists(corpus: DataFrame, centroids: Centroids, codebooks: np.ndarray, path: str) -> DataFrame:
+    """Encode a corpus once, in lists: (id, emb, list_id) with product codes for `emb`."""
+    return write_lists(product_codes(assign(corpus.select("id", "emb"), centroids), codebooks, keep=["id", "list_id"]), path)
 
-def ivf_product_top_k(queries: DataFrame, lists: DataFrame, centroids: Centroids, k: int, nprobe: int,
+
+def ivf_product_top_k(queries: DataFrame, stored: DataFrame, centroids: Centroids, k: int, nprobe: int,
                       codebooks: np.ndarray) -> DataFrame:
-    """IVF over product codes with table-lookup distances."""
-    coded = product_codes(lists, codebooks, keep=["id", "list_id"])
-    return S.product_top_k(queries, coded, codebooks, k, lambda q: _probe_table(q, centroids, nprobe))
+    """IVF over stored product codes with table-lookup distances; only probed lists are read."""
+    return S.product_top_k(queries, stored, codebooks, k, lambda q: _probe_table(q, centroids, nprobe))
 
 
 def residual_codes(corpus: DataFrame, centroids: Centroids) -> DataFrame:
@@ -196,11 +212,25 @@ def bit_top_k(queries: DataFrame, corpus: DataFrame, k: int, ratio: float, metri
                        lambda block: S.scan_corpus(codes, block.ids, Space(coarse, block.vectors), width), metric)
 
 
-def scalar_top_k(queries: DataFrame, corpus: DataFrame, k: int, ratio: float, bits: int = 8,
-                 quantile: float | None = None, metric: str = "L2", rescore: bool = True) -> DataFrame:
-    """Search over scalar codes, optionally rescored by the full vectors."""
+def store_scalar_codes(corpus: DataFrame, path: str, bits: int = 8, quantile: float | None = None) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]]:
+    """The corpus with a stored column `code` of scalar codes, and what turns them back into vectors."""
     lo, hi = range_arrays(fit_scalar(corpus, quantile=quantile))
-    codes, decode = scalar_codes(corpus, lo, hi, bits), (lo, scalar_steps(lo, hi, bits))
+    scalar_codes(corpus, lo, hi, bits, keep=corpus.columns, out="code").write.parquet(path)
+    return corpus.sparkSession.read.parquet(path), (lo, scalar_steps(lo, hi, bits))
+
+
+def scalar_top_k(queries: DataFrame, corpus: DataFrame, k: int, ratio: float, bits: int = 8,
+                 quantile: float | None = None, metric: str = "L2", rescore: bool = True,
+                 decode: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """Search over scalar codes, optionally rescored by the full vectors.
+
+    With `decode` the corpus has a stored `code` column, and the coarse scan reads only that; without, codes are made for this search.
+    """
+    if decode is None:
+        lo, hi = range_arrays(fit_scalar(corpus, quantile=quantile))
+        codes, decode = scalar_codes(corpus, lo, hi, bits), (lo, scalar_steps(lo, hi, bits))
+    else:
+        codes = corpus.select("id", F.col("code").alias("emb"))
     if not rescore:
         return S.coded_top_k(queries, codes, k, *decode, metric)
     width, name = S.candidate_width(k, ratio), S.metric_of(metric).name

@@ -57,19 +57,21 @@ class BitCodes:
 
 @dataclass
 class ScalarCodes:
-    """8- or 6-bit scalar codes, optionally rescored."""
+    """8- or 6-bit scalar codes, stored with the rows, optionally rescored."""
 
     ratio: float = 3.0
     bits: int = 8
     quantile: float | None = None
     rescore: bool = True
+    decode: tuple[np.ndarray, np.ndarray] | None = field(default=None, repr=False)
 
     def build(self, corpus: DataFrame) -> DataFrame:
-        return corpus
+        table, self.decode = ivf.store_scalar_codes(corpus, scratch_path(corpus.sparkSession, "scalar"), self.bits, self.quantile)
+        return table
 
     def search(self, queries, table, k, metric, where=None) -> DataFrame:
         rows = table if where is None else table.filter(where)
-        return ivf.scalar_top_k(queries, rows, k, self.ratio, self.bits, self.quantile, metric, self.rescore)
+        return ivf.scalar_top_k(queries, rows, k, self.ratio, self.bits, self.quantile, metric, self.rescore, self.decode)
 
 
 @dataclass
@@ -114,6 +116,55 @@ class InvertedFile:
         return ivf.ivf_top_k(queries, rows, self.centroids, k, self.nprobe, metric)
 
 
+@dataclass
+class InvertedScalarCodes:
+    """IVF over scalar codes that are stored by list."""
+
+    nlist: int = 16
+    nprobe: int = 4
+    bits: int = 8
+    fraction: float = 1.0
+    centroids: ivf.Centroids | None = field(default=None, repr=False)
+    decode: tuple[np.ndarray, np.ndarray] | None = field(default=None, repr=False)
+
+    def build(self, corpus: DataFrame) -> DataFrame:
+        if self.centroids is None:
+            self.centroids = ivf.Centroids.train(corpus, self.nlist, self.fraction)
+        stored = ivf.store_scalar_lists(corpus, self.centroids, scratch_path(corpus.sparkSession, "scalar-lists"), self.bits)
+        self.decode = stored.decode
+        return stored.table
+
+    def search(self, queries, table, k, metric, where=None) -> DataFrame:
+        rows = table if where is None else table.filter(where)
+        return ivf.ivf_scalar_top_k(queries, ivf.ScalarLists(rows, self.decode), self.centroids, k, self.nprobe, metric)
+
+
+@dataclass
+class InvertedProductCodes:
+    """IVF over product codes that are stored by list (L2)."""
+
+    nlist: int = 16
+    nprobe: int = 4
+    m: int = 8
+    nbits: int = 8
+    fraction: float = 1.0
+    centroids: ivf.Centroids | None = field(default=None, repr=False)
+    codebooks: np.ndarray | None = field(default=None, repr=False)
+
+    def build(self, corpus: DataFrame) -> DataFrame:
+        if self.centroids is None:
+            self.centroids = ivf.Centroids.train(corpus, self.nlist, self.fraction)
+        if self.codebooks is None:
+            self.codebooks = fit_codebooks(corpus, self.m, self.nbits, fraction=self.fraction)
+        return ivf.store_product_lists(corpus, self.centroids, self.codebooks, scratch_path(corpus.sparkSession, "product-lists"))
+
+    def search(self, queries, table, k, metric, where=None) -> DataFrame:
+        if S.metric_of(metric).name != "L2":
+            raise ValueError("product codes search under L2; normalise first for other metrics")
+        rows = table if where is None else table.filter(where)
+        return ivf.ivf_product_top_k(queries, rows, self.centroids, k, self.nprobe, self.codebooks)
+
+
 def run_case(searcher: Searcher, corpus: DataFrame, queries: DataFrame, truth: DataFrame | None = None, k: int = 100,
              metric: str = "L2", filters=NoFilter()) -> DataFrame:
     """Load, build, search and score one case: a single metric row.

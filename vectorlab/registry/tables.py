@@ -7,9 +7,11 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..functions import vector as V
+from ..functions.numbers import round4
 from ..operators import filters as FL
 from ..operators import frontier as FR
 from ..operators import search as S
+from ..plans import ivf as IVF
 from ..plans import performance as PF
 from ..session import materialise, scratch_path
 from ..sources import corpus as SRC
@@ -224,6 +226,23 @@ def sweep_frontier(spark, sf):
     return best.select("searcher", "recall", "qps", "load_duration")
 
 
+@query("n11_frontier_by_cost", f"""WITH {C}, {Q}, {_sweep_sql('[1, 2, 4, 10]')}, cost AS (SELECT nprobe, count(*) AS rows FROM np JOIN pr ON pr.r <= nprobe JOIN al USING (list_id) GROUP BY nprobe),
+m AS (SELECT nprobe, round_even(round(avg(recall), 12), 4) AS recall, round_even(1e6 / any_value(rows), 4) AS qps FROM pq JOIN cost USING (nprobe) GROUP BY nprobe)
+SELECT nprobe, recall, qps FROM m a WHERE NOT EXISTS (SELECT 1 FROM m b WHERE b.nprobe <> a.nprobe AND b.recall >= a.recall AND b.qps >= a.qps AND (b.recall > a.recall OR b.qps > a.qps))""")
+def frontier_by_cost(spark, sf):
+    """Frontier of a sweep whose speeds are the rows that each setting compares, so that they don't differ from run to run."""
+    cents, probes = centroids(spark, sf), [1, 2, 4, 10]
+    c, q = corpus(spark, sf).select("id", "emb"), materialise(profiles(spark, sf), "queries")
+    runs = PF.sweep([PF.InvertedFile(nprobe=n, centroids=cents) for n in probes], c, q, 10)
+    sizes = IVF.assign(c, cents).groupBy("list_id").agg(F.count(F.lit(1)).alias("n"))
+    probed = IVF.probe_lists(q, cents, max(probes)).join(F.broadcast(sizes), "list_id")  # one row per list
+    settings = F.array(*[F.lit(n).cast("bigint") for n in probes])
+    cost = probed.withColumn("nprobe", F.explode(settings)).where("rank <= nprobe").groupBy("nprobe").agg(F.sum("n").alias("rows"))
+    rows = runs.select(settings[F.col("seq")].alias("nprobe"), "seq", "recall", F.lit("all").alias("db")).join(cost, "nprobe")
+    best, _ = FR.split_frontier(rows.withColumn("qps", round4(F.lit(1e6) / F.col("rows"))), ["db"])
+    return best.select("nprobe", "recall", "qps")
+
+
 class LabelMeans:
     """A plug-in method: compare a query with the rows of the label whose mean is nearest."""
 

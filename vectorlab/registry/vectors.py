@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from ..functions import metrics as M
 from ..functions import vector as V
+from ..operators import filtered as FD
 from ..operators import filters as FL
+from ..operators import pivots as PV
 from ..operators import quantise as QZ
 from ..operators import search as S
 from ..operators import vectors as VV
 from ..operators.grid import grid_top_k
+from ..plans import cases as CS
 from ..plans import ivf
 from ..plans import rotated as RB
 from ..session import scratch_path
@@ -444,6 +447,28 @@ def filtered_truth(spark, sf):
         "id", (F.col("p") + 1).cast("bigint").alias("position"), "neighbor")
 
 
+_CASES = f"""f AS (SELECT concat('id ', rate) AS filter, trunc((SELECT count(*) FROM embeddings) * rate)::BIGINT AS least, NULL AS label
+FROM (SELECT unnest({CS.ID_RATES})::DOUBLE AS rate) UNION ALL SELECT concat('label ', v), NULL, v FROM (SELECT unnest(['label_1p', 'label_2p', 'label_5p', 'label_10p',
+'label_12p', 'label_20p', 'label_50p', 'label_99p']) AS v))"""
+
+
+@query("j2_ground_truth_of_all_filters", f"""WITH {C}, {Q}, {_CASES}, s AS (SELECT q.qid, c.id, {L2} AS dist, {SHARE_SQL.format(id='c.id')} AS labels FROM q, c),
+ranked AS (SELECT filter, qid, id, row_number() OVER (PARTITION BY filter, qid ORDER BY dist, id) AS rank FROM s JOIN f ON s.id >= f.least OR s.labels = f.label)
+SELECT split_part(filter, ' ', 1) AS kind, round_even(CASE WHEN filter LIKE 'id %' THEN split_part(filter, ' ', 2)::DOUBLE END, 6) AS rate,
+CASE WHEN filter LIKE 'label %' THEN split_part(filter, ' ', 2) END AS label, qid AS id, rank AS position, id AS neighbor FROM ranked WHERE rank <= 10""")
+def truth_of_all_filters(spark, sf):
+    """Neighbours under every id rate and every label, in one scan."""
+    c = corpus(spark, sf)
+    size = c.count()
+    rates = {f"id {r}": FL.IdFilter(size, r).value for r in CS.ID_RATES}
+    shares = {f"label {v}": v for v in ("label_1p", "label_2p", "label_5p", "label_10p", "label_12p", "label_20p", "label_50p", "label_99p")}
+    labelled = SRC.attach_labels(c.select("id", "emb"), share_labels(spark, sf))
+    truth = FD.ground_truths(profiles(spark, sf), labelled, 10, "L2", rates, shares)
+    parts = F.split("filter", " ")
+    return truth.select(parts[0].alias("kind"), F.when(parts[0] == "id", parts[1].try_cast("double")).alias("rate"), F.when(parts[0] == "label", parts[1]).alias("label"), "id",
+                        F.posexplode("neighbors_id").alias("p", "neighbor")).withColumn("position", (F.col("p") + 1).cast("bigint")).drop("p")
+
+
 @query("j3_attach_labels", f"""SELECT {SHARE_SQL.format(id='vec_id')} AS labels, count(*) AS n, sum(label)::BIGINT AS total FROM embeddings GROUP BY 1""")
 def attach_labels(spark, sf):
     rows = SRC.attach_labels(corpus(spark, sf), share_labels(spark, sf))
@@ -485,6 +510,15 @@ def radius_search(spark, sf):
     return found.select("qid", "id", r6("dist", "dist"), F.col("rank").cast("bigint").alias("rank"), "enough")
 
 
+@query("j7_radius_search_by_pivots", _RADIUS)
+def radius_search_by_pivots(spark, sf):
+    c = corpus(spark, sf)
+    pivots = PV.choose_pivots(c)
+    stored = PV.write_pivots(c, pivots, scratch_path(spark, "pivots"))
+    found = PV.radius_search_by_pivots(profiles(spark, sf), stored, pivots, 0.95, 20, 5)
+    return found.select("qid", "id", r6("dist", "dist"), F.col("rank").cast("bigint").alias("rank"), "enough")
+
+
 def _bit_rerank_sql(width: str, final: str, k: int = 10) -> str:
     return f"""WITH {C}, {Q}, {BC}, {BQ},
 s AS (SELECT q.qid, c.id, {HAM} AS d FROM qb q, cb c),
@@ -591,7 +625,8 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, id) AS r
 SELECT qid, id, round(dist, 6) AS dist, rank FROM ranked WHERE rank <= 10""")
 def ivf_sq8(spark, sf):
     cents = centroids(spark, sf)
-    return answer(ivf.ivf_scalar_top_k(profiles(spark, sf), lists(spark, sf, cents), cents, 10, 3))
+    stored = ivf.store_scalar_lists(corpus(spark, sf), cents, scratch_path(spark, "scalar-lists"))
+    return answer(ivf.ivf_scalar_top_k(profiles(spark, sf), stored, cents, 10, 3))
 
 
 @query("n4_ivf_pq", f"""WITH {C}, {Q}, {_BOOKS}, assigned AS (SELECT c.id, arg_min(cent.list_id, (list_distance(c.emb, cent.emb), cent.list_id)) AS list_id
@@ -604,7 +639,9 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(dist, 9)
 SELECT qid, id, round(dist, 6) AS dist, rank FROM ranked WHERE rank <= 10""")
 def ivf_pq(spark, sf):
     cents = centroids(spark, sf)
-    return answer(ivf.ivf_product_top_k(profiles(spark, sf), lists(spark, sf, cents), cents, 10, 3, label_codebooks(spark, sf)))
+    books = label_codebooks(spark, sf)
+    stored = ivf.store_product_lists(corpus(spark, sf), cents, books, scratch_path(spark, "product-lists"))
+    return answer(ivf.ivf_product_top_k(profiles(spark, sf), stored, cents, 10, 3, books))
 
 
 _RES = f"""WITH {C}, {Q}, {_ASSIGN}, {_PROBE},
@@ -666,7 +703,10 @@ e AS (SELECT w.qid, w.id, {L2} AS dist FROM w JOIN q USING (qid) JOIN c USING (i
 ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, id) AS rank FROM e)
 SELECT qid, id, round(dist, 6) AS dist, rank FROM ranked WHERE rank <= 10""")
 def scalar_rescored(spark, sf):
-    return answer(ivf.scalar_top_k(profiles(spark, sf), corpus(spark, sf), 10, 1.5, bits=6))
+    from ..plans.performance import ScalarCodes
+
+    search = ScalarCodes(1.5, 6)
+    return answer(search.search(profiles(spark, sf), search.build(corpus(spark, sf)), 10, "L2"))
 
 
 @query("n8_partition_by_label", top_sql(L2, where=f"{SHARE_SQL.format(id='c.id')} = 'label_5p'"))
