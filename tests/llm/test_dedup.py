@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from vectorlab.llm import components, exact_dedup, simhash, suffix_dedup, suffix_sort
@@ -150,6 +151,29 @@ def test_remove_repeats_edges(spark, nothing):
     assert suffix_dedup.remove_repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("rows", [[4], [7], [1, 2, 3], [4, 4], [9, 1, 5, 5, 1, 8], [3, 30, 2, 1, 1, 12]])
+def test_no_span_is_lost_where_batches_end(monkeypatch, rows):
+    """Buckets of one window and of several, in small batches that end anywhere."""
+    monkeypatch.setattr(suffix_dedup, "BATCH", 4)
+    rng = np.random.default_rng(6)
+    table, want = [], set()
+    for bucket, n in enumerate(rows):
+        window = bytes(rng.integers(97, 123, suffix_dedup.LENGTH, np.uint8))
+        d = int(rng.integers(0, 50))
+        for i in range(n):
+            row = 1000 * bucket + i
+            wide = bucket % 3 == 2
+            table.append((bucket, d, d + 1 if wide else d, row, 100, True, d, window))
+            if n > 1:
+                want.add((row, 100 - d, 100 - d + suffix_dedup.LENGTH))
+    names = ["key", "low", "high", "row", "at", "single", "ahead", "bytes"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary()]
+    for size in (1, 2, 3, 4, 5, 7, 100):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*table[i:i + size]), types)], names) for i in range(0, len(table), size)]
+        got = {(r["row"], r["start"], r["end"]) for b in suffix_dedup._search(iter(batches)) for r in b.to_pylist()}
+        assert got == want
+
+
 def test_anchors_of_pieces(monkeypatch):
     data = np.random.default_rng(2).integers(97, 101, 5000, np.uint8).tobytes()
     at, h = suffix_dedup.anchors(data)

@@ -1,4 +1,5 @@
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -209,6 +210,21 @@ def test_pages_with_odd_cases(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_inline_elements_leave_words_whole():
+    for inner in ("<img src=x>", "<script>a()</script>", "<input value=v>", "<svg><path/></svg>", "<button>b</button>", "<select><option>o</option></select>", "<b></b>", "<wbr>"):
+        assert html_text.main_text(f"<p>un{inner}broken text</p>") == "unbroken text"
+    assert html_text.main_text("<p>a<br>b<p>c<div>d</div>e") == "a b c d e"
+
+
+@pytest.mark.parametrize("html", [
+    "<span>" * 60_000 + "</i>" * 60_000, "<i><div>" + "<span>" * 60_000 + "</i>" * 60_000, "<div>" * 60_000 + "<p>x" * 60_000, "<table>" + "<b>" * 60_000 + "<td>y" * 60_000,
+    "<header>" * 60_000 + "z", "<div>" * 60_000 + "<li>x" * 60_000, "<h1>" + "<div>" * 60_000 + "<h2>t" * 60_000])
+def test_a_page_costs_as_much_as_it_is_long(html):
+    begin = time.process_time()
+    html_text.Page(html)
+    assert time.process_time() - begin < 8  # some million tags a minute; a walk over the open elements for each takes many minutes
+
+
 # --- licences
 
 def test_licences(spark):

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterable
 from functools import lru_cache
 from html import unescape
 
@@ -39,6 +40,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template".split())
 INLINE = frozenset(("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q ruby rb rt rp s samp small span "
                     "strike strong sub sup time tt u var wbr").split())
+#: These are no blocks either: they leave the text around them in one piece, whatever they hold.
+UNSPACED = INLINE | frozenset(("audio button canvas embed iframe img input map math noscript object picture script select source style svg template "
+                               "textarea track video").split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINER = frozenset("article main".split())
 NEVER = RAW | frozenset("head nav footer aside form button select option input dialog menu svg math canvas object audio video map datalist fieldset".split())
@@ -82,6 +86,9 @@ class Page:
         self.tag, self.parent, self.last, self.flag, self.label = [""], [-1], [0], [KEPT], [False]
         self.texts: list[tuple[int, str]] = []
         self.stack = [0]
+        #: Where in the stack the open elements of a tag are, and those that are not inline.
+        self.open: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
         self._read(html)
         while self.stack:
             self._pop()
@@ -89,18 +96,23 @@ class Page:
     def _pop(self) -> None:
         node = self.stack.pop()
         self.last[node] = len(self.tag)
-        if self.tag[node] not in INLINE:
+        tag = self.tag[node]
+        if node:
+            self.open[tag].pop()
+            if tag not in INLINE:
+                self.blocks.pop()
+        if tag not in UNSPACED:
             self.texts.append((max(self.parent[node], 0), " "))
 
+    def _top(self, names: Iterable[str]) -> int:
+        """Place in the stack of the innermost open element of these tags; 0 without one."""
+        return max((self.open[name][-1] for name in names if self.open.get(name)), default=0)
+
     def _pop_to(self, names: frozenset[str], bounds: frozenset[str]) -> None:
-        for at in range(len(self.stack) - 1, 0, -1):
-            tag = self.tag[self.stack[at]]
-            if tag in names:
-                while len(self.stack) > at:
-                    self._pop()
-                return
-            if tag in bounds:
-                return
+        at = self._top(names)
+        if at > self._top(bounds):
+            while len(self.stack) > at:
+                self._pop()
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag in ("html", "body") and tag in self.tag[:4]:
@@ -116,7 +128,7 @@ class Page:
         here = self.stack[-1]
         if tag == "br" or tag == "hr":
             self.texts.append((here, " "))
-        elif tag not in INLINE:
+        elif tag not in UNSPACED:
             self.texts.append((here, " "))
         self.tag.append(tag)
         self.parent.append(here)
@@ -125,6 +137,9 @@ class Page:
         self.flag.append(flag)
         self.label.append(label)
         if tag not in VOID:
+            self.open.setdefault(tag, []).append(len(self.stack))
+            if tag not in INLINE:
+                self.blocks.append(len(self.stack))
             self.stack.append(len(self.tag) - 1)
 
     def _flag(self, tag: str, attributes: str) -> tuple[int, bool]:
@@ -140,20 +155,18 @@ class Page:
                 if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                     return LEFT_OUT, False
             label |= name == "role" and value.strip() in NOISE_ROLES or name in ("class", "id") and any(map(names_noise, value.split()))
-        if tag in WRAPS or tag == "header" and not any(self.tag[n] in CONTAINER for n in self.stack):
+        if tag in WRAPS or tag == "header" and not self._top(CONTAINER):
             return WRAP, label
         return LABELLED if label and tag not in CONTAINER else KEPT, label
 
     def _close(self, tag: str) -> None:
-        inline = tag in INLINE
-        for at in range(len(self.stack) - 1, 0, -1):
-            open_tag = self.tag[self.stack[at]]
-            if open_tag == tag:
-                while len(self.stack) > at:
-                    self._pop()
-                return
-            if inline and open_tag not in INLINE or open_tag in ("body", "table") and tag not in ("html", "body", "table"):
-                return
+        at = self._top([tag])
+        bound = self.blocks[-1] if tag in INLINE and self.blocks else 0
+        if tag not in ("html", "body", "table"):
+            bound = max(bound, self._top(("body", "table")))
+        if at > bound:
+            while len(self.stack) > at:
+                self._pop()
 
     def _read(self, html: str) -> None:
         at = 0

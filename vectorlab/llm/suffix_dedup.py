@@ -216,9 +216,14 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, low, high = (held[i].to_numpy() for i in range(3))
         last = int(np.flatnonzero((key != key[-1]) | (low != low[-1]) | (high != high[-1])).max(initial=-1)) + 1
         if last:
-            yield spans(held.slice(0, last))
-            held = held.slice(last)
-            many = 0
+            done = held.slice(0, last)
+            if many:  # the first rows belong to the bucket whose others were taken already
+                rest = int(np.flatnonzero((key != key[0]) | (low != low[0]) | (high != high[0]))[0])
+                yield whole(done.slice(0, rest))
+                done = done.slice(rest)
+            if done.num_rows:
+                yield spans(done)
+            held, many = held.slice(last), 0
         if held.num_rows > 1 and low[-1] == high[-1] and held.num_rows >= BATCH:
             yield whole(held.slice(0, held.num_rows - 1))
             held, many = held.slice(held.num_rows - 1), many + held.num_rows
