@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -265,3 +266,17 @@ def test_plans(spark, c, q, lists):
     assert "BroadcastHashJoin" in text and "SortMergeJoin [id" not in text
     pushed = plan(S.top_k(q, SRC.write_sorted(c, scratch_path(spark, "sorted")), 10, "L2", F.col("id") >= 300))
     assert "GreaterThanOrEqual(id,300)" in pushed
+
+
+def test_small_batches_are_joined(spark, c, q):
+    batches = [pa.RecordBatch.from_pydict({"x": list(range(i, i + n))}) for i, n in ((0, 3), (3, 0), (3, 4), (7, 10), (17, 1))]
+    joined = list(S.full_batches(iter(batches), 6))
+    assert [b.num_rows for b in joined] == [7, 10, 1] and [v for b in joined for v in b["x"].to_pylist()] == list(range(18))
+    assert list(S.full_batches(iter([]))) == []
+    expected, key = found(S.top_k(q, c, 5)), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        assert found(S.top_k(q, c, 5)) == expected
+    finally:
+        spark.conf.set(key, before)

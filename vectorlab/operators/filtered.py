@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.metrics import metric as metric_of
 from .blocks import Space, TopK
-from .search import MERGE_WIDTH, QueryBlock, over_query_blocks, rank_within
+from .search import MERGE_WIDTH, QueryBlock, full_batches, over_query_blocks, rank_within
 
 PARTIAL = "family int, place int, qid bigint, id bigint, dist double, part int"
 RESULT = "filter string, qid bigint, id bigint, dist double, rank int"
@@ -32,7 +32,7 @@ def _scan(block: QueryBlock, name: str, k: int, cuts: np.ndarray, labels: list[s
                 best.setdefault((family, p), TopK(space, k)).add(ids[inside], x[inside])
 
         space = Space(name, block.vectors)
-        for batch in batches:
+        for batch in full_batches(batches):
             if not batch.num_rows:
                 continue
             ids, x = batch.column("id").to_numpy(zero_copy_only=False), space.load(batch.column("emb"))

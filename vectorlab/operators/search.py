@@ -6,7 +6,7 @@ of checked size, each task keeps k rows per query, and only those meet in the fi
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,6 +23,7 @@ from .grid import grid_top_k
 RESULT = "qid bigint, id bigint, dist double, rank int"
 PARTIAL = "qid bigint, id bigint, dist double, part int"
 MERGE_WIDTH = 64
+BATCH_ROWS = 10_000
 
 
 def query_set(df: DataFrame, qid: str = "qid", emb: str = "emb") -> DataFrame:
@@ -91,6 +92,19 @@ def over_query_blocks(queries: DataFrame, k: int, scan: Callable[[QueryBlock], D
         cached.unpersist()
 
 
+def full_batches(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """Small Arrow batches joined up to `rows` rows, so that the search does not depend on how a session cuts them."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches() if len(held) > 1 else held
+            held, size = [], 0
+    if size:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def scan_corpus(corpus: DataFrame, ids: np.ndarray, space: Space, k: int,
                 probes: dict[int, np.ndarray] | None = None) -> DataFrame:
     """Top-k of every query over `corpus(id, emb[, list_id])`; lists restrict who is compared."""
@@ -100,7 +114,7 @@ def scan_corpus(corpus: DataFrame, ids: np.ndarray, space: Space, k: int,
     def run(batches):
         qids, local_space, lists = shared.value
         best = TopK(local_space, k)
-        for batch in batches:
+        for batch in full_batches(batches):
             if batch.num_rows == 0:
                 continue
             row_ids = batch.column("id").to_numpy(zero_copy_only=False)
