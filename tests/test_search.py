@@ -269,7 +269,7 @@ def test_plans(spark, c, q, lists):
 
 
 def test_small_batches_are_joined(spark, c, q):
-    batches = [pa.RecordBatch.from_pydict({"x": list(range(i, i + n))}) for i, n in ((0, 3), (3, 0), (3, 4), (7, 10), (17, 1))]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(i, i + n), pa.int64())], ["x"]) for i, n in ((0, 3), (3, 0), (3, 4), (7, 10), (17, 1))]
     joined = list(S.full_batches(iter(batches), 6))
     assert [b.num_rows for b in joined] == [7, 10, 1] and [v for b in joined for v in b["x"].to_pylist()] == list(range(18))
     assert list(S.full_batches(iter([]))) == []
