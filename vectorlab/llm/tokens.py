@@ -8,12 +8,14 @@ Texts that hold the mark of a special token are encoded as a whole.
 from __future__ import annotations
 
 import re
+import struct
 
 import numpy as np
 from tokenizers import Tokenizer
 
 DEFAULT = "word_bpe_49k.json"
-#: Words kept per worker; when full, the store is emptied. This changes speed only.
+#: Words of a generation. When the young words are that many they become the old ones, and the old ones that were not
+#: asked for since are dropped; so words in use stay. This changes speed only.
 KEPT = 200_000
 #: Marks, a core of ASCII or Latin-1 letters, marks: the tokenizer splits such a word just there.
 PLAIN = re.compile(rb"([!-&(-/:-@\[-`{-~]*)((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
@@ -37,7 +39,9 @@ class _Words(dict):
 
     def __init__(self, model: Tokenizer):
         super().__init__()
-        self.model, self.merges, self.letters, self.parts = model, model.model, byte_letters(), {b"": b""}
+        self.model, self.merges, self.letters = model, model.model, byte_letters()
+        self.old: dict[bytes, bytes] = {}
+        self.parts, self.old_parts = {b"": b""}, {b"": b""}
 
     def encode(self, data: bytes) -> bytes:
         return np.array(self.model.encode(data.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
@@ -45,22 +49,33 @@ class _Words(dict):
     def _part(self, part: bytes) -> bytes:
         """Ids of a run of letters or of marks, which goes to the merges as it is."""
         ids = self.parts.get(part)
+        if ids is None and (ids := self.old_parts.get(part)) is not None:
+            self.parts[part] = ids
         if ids is None:
             text = part.decode("ascii") if part.isascii() else part.decode().lower().encode().decode("latin-1").translate(self.letters)
-            ids = self.parts[part] = np.array([t.id for t in self.merges.tokenize(text)], "<u4").tobytes()
+            found = [t.id for t in self.merges.tokenize(text)]
+            ids = self.parts[part] = struct.pack(f"<{len(found)}I", *found)
         return ids
 
     def __missing__(self, word: bytes) -> bytes:
-        found = PLAIN.fullmatch(word)
-        ids = b"".join(map(self._part, found.groups())) if found else self.encode(word)
+        ids = self.old.get(word)
+        if ids is None:
+            if found := PLAIN.fullmatch(word):
+                before, core, after = found.groups()
+                ids = self._part(core)
+                if before or after:
+                    ids = self._part(before) + ids + self._part(after)
+            else:
+                ids = self.encode(word)
         self[word] = ids
         return ids
 
     def trim(self) -> None:
         if len(self) > KEPT:
+            self.old = dict(self)
             self.clear()
         if len(self.parts) > KEPT:
-            self.parts = {b"": b""}
+            self.parts, self.old_parts = {b"": b""}, self.parts
 
 
 class TextTokenizer:
