@@ -365,3 +365,60 @@ def test_mixed_probabilities_sum_to_one():
     words = [b"abc", b"abcd", mixing.END, b"\xc3\xa9"]
     apart = np.concatenate([model.bits([w], np.array([2])) for w in words])
     assert model.bits(words, np.full(4, 2)) == pytest.approx(apart)
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(1)
+    arrays = [np.array([], np.int64), np.array([0, 1, 255]), np.array([256, 70_000]), np.array([1 << 40, 3]), rng.normal(size=50).astype(np.float32), np.arange(5) > 2]
+    back = mixing.unpacked(mixing.packed(*arrays))
+    assert len(back) == len(arrays) and all((a == b).all() and len(a) == len(b) for a, b in zip(arrays, back))
+
+
+def slow_bits(model, word: bytes, accent: int) -> float:
+    """Bits of a word by plain loops over its decisions."""
+    mask, bits = (1 << 64) - 1, 0.0
+    coded = word if word == mixing.END else word + b" "
+    for place, byte in enumerate(coded):
+        last = [coded[place - k] + 1 if place >= k else 0 for k in range(1, 6)]
+        five = sum(x << 9 * k for k, x in enumerate(last))
+        prefix = sum((x + 1) * pow(mixing.POWER, k, 1 << 64) for k, x in enumerate(coded[:place])) & mask
+        language = accent << 48
+        three = five & (1 << 27) - 1
+        contexts = [last[0], five & (1 << 18) - 1, three, three ^ language, five, prefix, prefix ^ language * int(mixing.MULTIPLY) & mask]
+        for bit in range(8):
+            node, one = (256 | byte) >> 8 - bit, byte >> 7 - bit & 1
+            x = []
+            for k, c in enumerate(contexts):
+                h = ((c + k + 1) * int(mixing.MULTIPLY) + node * int(mixing.NODE)) * int(mixing.MULTIPLY) & mask
+                x.append(float(np.float32(model.tables[k][h >> 64 - mixing.SLOTS[k]] / mixing.SCALE)))
+            known = [k for k in range(1, mixing.ORDERS) if x[len(x) - mixing.ORDERS + k] != 0]
+            w = model.weights[bit, min(place, mixing.PLACES - 1) * mixing.ORDERS + max(known, default=0)]
+            mixed = min(max(w[-1] - mixing.FIRST_WEIGHT + sum(a * b for a, b in zip(w, x)), -7.999), 7.999)
+            at = (mixed + 8) * (mixing.CELLS - 1) / 16
+            low, part = int(at), at - int(at)
+            p = (1 / (1 + np.exp(-mixed)) + model.refined[node][low] * (1 - part) + model.refined[node][low + 1] * part) / 2
+            p = min(max(p, mixing.LEAST), 1 - mixing.LEAST)
+            bits -= np.log2(p if one else 1 - p)
+    return bits
+
+
+def test_scores_are_those_of_plain_loops(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    model = mixing.Model([rng.integers(-127, 128, 1 << bits).astype(np.int8) * (rng.random(1 << bits) < 0.5) for bits in mixing.SLOTS],
+                         rng.normal(0.2, 0.1, (8, mixing.PLACES * mixing.ORDERS, mixing.INPUTS)), rng.uniform(0.01, 0.99, (256, mixing.CELLS)))
+    monkeypatch.setattr(mixing, "fit", lambda pairs, total: model)
+    monkeypatch.setattr(mixing, "BLOCK_BYTES", 2000)
+    texts = [(i, t) for i, t in odd_texts() if t is None or len(t) < 1500]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    want = []
+    for i, t in texts:
+        words, total, accent, prices = (t or "").encode().lower().split() + [mixing.END], 0.0, 0, {}
+        for w in words:
+            if (w, accent) not in prices:
+                prices[w, accent] = slow_bits(model, w, accent)
+            total += prices[w, accent]
+            accent = mixing.accent_class(w) or accent
+        want.append((-1 if i is None else i, round(-total * np.log10(2), 2)))
+    got = [(-1 if r.doc_id is None else r.doc_id, round(r.score, 2)) for r in mixing.score(docs).collect()]
+    for a, b in zip(sorted(want), sorted(got), strict=True):
+        assert a[0] == b[0] and a[1] == pytest.approx(b[1], rel=1e-5, abs=0.02)
