@@ -422,3 +422,11 @@ def test_scores_are_those_of_plain_loops(spark, monkeypatch):
     got = [(-1 if r.doc_id is None else r.doc_id, round(r.score, 2)) for r in mixing.score(docs).collect()]
     for a, b in zip(sorted(want), sorted(got), strict=True):
         assert a[0] == b[0] and a[1] == pytest.approx(b[1], rel=1e-5, abs=0.02)
+
+
+@pytest.mark.parametrize("width", [2, 4])
+def test_planes_of_ids_come_back(width):
+    squeeze, expand = training_order.zstandard.ZstdCompressor(), training_order.zstandard.ZstdDecompressor()
+    for n in (1, 7, 1024):
+        ids = np.random.default_rng(n).integers(0, 49_000, n).astype(f"<u{width}")
+        assert training_order.restored(training_order.shrunk(ids, squeeze), n, width, expand) == ids.tobytes()
