@@ -1,4 +1,7 @@
 import json
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -191,3 +194,19 @@ def test_paths_and_titles(spark):
 def test_replicated_ids_stay_unique(spark):
     df = SRC.replicated(spark.range(10).withColumn("emb", F.array(F.lit(1.0))), 3, 10)
     assert df.select("id").distinct().count() == 30 and df.agg(F.max("id")).first()[0] == 29
+
+
+def test_workers_know_the_package_wherever_the_driver_runs(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})
+from vectorlab.session import build_session
+from vectorlab.operators import search as S
+spark = build_session("elsewhere", "local[2]", 2)
+rows = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(20)], "id bigint, emb array<float>")
+print("rows", S.top_k(rows.withColumnRenamed("id", "qid"), rows, 2, "L2").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert "rows 40" in done.stdout, done.stderr[-2000:]

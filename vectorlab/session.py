@@ -16,7 +16,7 @@ BROADCAST_BYTES_DEFAULT = 64 * 1024 * 1024
 
 
 def build_session(app: str = "vectorlab", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
-    """A session with the settings the library is written for; a cluster's own settings win."""
+    """A session with the settings the library is written for and this package on its workers; a cluster's own settings win."""
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
@@ -32,7 +32,9 @@ def build_session(app: str = "vectorlab", master: str | None = None, shuffle_par
         builder = builder.master(master).config("spark.driver.memory", "8g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def broadcast_limit(spark: SparkSession) -> int:
