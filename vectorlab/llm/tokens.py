@@ -17,8 +17,10 @@ DEFAULT = "word_bpe_49k.json"
 #: Words of a generation. When the young words are that many they become the old ones, and the old ones that were not
 #: asked for since are dropped; so words in use stay. This changes speed only.
 KEPT = 200_000
-#: Marks, a core of ASCII or Latin-1 letters, marks: the tokenizer splits such a word just there.
-PLAIN = re.compile(rb"([!-&(-/:-@\[-`{-~]*)((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
+#: ASCII marks at which the tokenizer splits a word of letters; the apostrophe is not one, it may go with the letters after it.
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Letters from ASCII and Latin-1.
+LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
 def tokenizer_path(name: str = DEFAULT) -> str:
@@ -60,11 +62,12 @@ class _Words(dict):
     def __missing__(self, word: bytes) -> bytes:
         ids = self.old.get(word)
         if ids is None:
-            if found := PLAIN.fullmatch(word):
-                before, core, after = found.groups()
+            tail = word.lstrip(MARKS)
+            core = tail.rstrip(MARKS)
+            if core.isalpha() or LETTERS.fullmatch(core):  # marks, letters, marks: the tokenizer splits just there
                 ids = self._part(core)
-                if before or after:
-                    ids = self._part(before) + ids + self._part(after)
+                if len(core) < len(word):
+                    ids = self._part(word[:len(word) - len(tail)]) + ids + self._part(tail[len(core):])
             else:
                 ids = self.encode(word)
         self[word] = ids
