@@ -424,9 +424,31 @@ def test_scores_are_those_of_plain_loops(spark, monkeypatch):
         assert a[0] == b[0] and a[1] == pytest.approx(b[1], rel=1e-5, abs=0.02)
 
 
-@pytest.mark.parametrize("width", [2, 4])
-def test_planes_of_ids_come_back(width):
-    squeeze, expand = training_order.zstandard.ZstdCompressor(), training_order.zstandard.ZstdDecompressor()
-    for n in (1, 7, 1024):
-        ids = np.random.default_rng(n).integers(0, 49_000, n).astype(f"<u{width}")
-        assert training_order.restored(training_order.shrunk(ids, squeeze), n, width, expand) == ids.tobytes()
+def slow_slot(x, n, key=training_order.KEY):
+    """The permutation in whole Python numbers."""
+    half, wide = max(1, ((n - 1).bit_length() + 1) // 2), (1 << 64) - 1
+
+    def mixed(x, key):
+        x = (x + key) * 0x9E3779B97F4A7C15 & wide
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & wide
+        return x ^ x >> 31
+
+    while True:
+        left, right = x >> half, x & (1 << half) - 1
+        for turn in range(training_order.ROUNDS):
+            left, right = right, (left ^ mixed(right, key * training_order.ROUNDS + turn)) & (1 << half) - 1
+        x = left << half | right
+        if x < n:
+            return x
+
+
+def test_sequences_follow_the_texts_and_slots_the_permutation(spark, odd, model, tmp_path):
+    odd.coalesce(1).write.parquet(f"file:{tmp_path}/docs")
+    docs = spark.read.parquet(f"file:{tmp_path}/docs")
+    end = model.token_to_id("<|endoftext|>")
+    want = [x for r in docs.collect() for x in [*true_ids(model, r.text), end]]
+    n = training_order.write_shards(docs, f"file:{tmp_path}/t", length=64, per_shard=32)["sequences"]
+    rows = sorted(training_order.read_shards(spark, f"file:{tmp_path}/t").collect(), key=lambda r: r.sequence)
+    assert [x for r in rows for x in np.frombuffer(r.ids, "<u2").tolist()] == want
+    assert all(r.n_tokens == 64 for r in rows[:-1])
+    assert [r.slot for r in rows] == [slow_slot(k, n) for k in range(n)]

@@ -6,7 +6,8 @@ before, plus the place in the task), and a keyed Feistel permutation with cycle-
 a bijection of [0, n) that needs no table. A shard holds a range of slots. One shuffle by shard and a sort by slot
 write one file per shard, so that a trainer reads in order and resumes at any slot by a seek.
 
-On the way the ids of a sequence are byte planes (all low bytes, then all next ones), each compressed by itself.
+The sequences are written once, their ids as they are, compressed by the table's pages; through the shuffle each row's ids go
+compressed by themselves.
 
 Record: sequence number (8 bytes), token count (4), CRC-32 of the ids (4), ids (2 or 4 bytes each, little-endian, filled with
 zeros up to the sequence length), two zero bytes. Spark's own text writer commits the files, with the zero bytes as
@@ -27,7 +28,6 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import scratch_path
 from . import common as C
@@ -36,6 +36,8 @@ from .tokens import text_tokenizer, tokenizer_path
 LENGTH, PER_SHARD, KEY, ROUNDS = 1024, 8192, 20_240_229, 4
 HEADER, SEPARATOR = 16, b"\0\0"
 SEQUENCES = "part int, place bigint, n_tokens int, crc bigint, ids binary"
+PLACED = "slot bigint, sequence bigint, n_tokens int, crc bigint, ids binary"
+GROUP_BYTES = 16 << 20  # of a row group of the sequences' table: what a writing task holds
 
 
 def _mixed(x: np.ndarray, key: int) -> np.ndarray:
@@ -59,25 +61,9 @@ def permuted(numbers: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
     return result.astype(np.int64)
 
 
-def shrunk(ids: np.ndarray, squeeze: zstandard.ZstdCompressor) -> bytes:
-    """Ids as compressed byte planes, each after its length."""
-    planes = [squeeze.compress(plane.tobytes()) for plane in ids.view(np.uint8).reshape(len(ids), -1).T]
-    return b"".join(len(p).to_bytes(4, "little") + p for p in planes)
-
-
-def restored(data: bytes, n: int, width: int, expand: zstandard.ZstdDecompressor) -> bytes:
-    """The little-endian bytes of n ids."""
-    planes, at = np.empty((width, n), np.uint8), 0
-    for k in range(width):
-        end = at + 4 + int.from_bytes(data[at:at + 4], "little")
-        planes[k] = np.frombuffer(expand.decompress(data[at + 4:end]), np.uint8)
-        at = end
-    return planes.T.tobytes()
-
-
 def _cut(batches: Iterator[pa.RecordBatch], path: str, length: int, end_id: int, width: int) -> Iterator[pa.RecordBatch]:
     tokenizer, end, size = text_tokenizer(path), end_id.to_bytes(4, "little"), 4 * length
-    part, place, rest, squeeze = TaskContext.get().partitionId(), 0, b"", zstandard.ZstdCompressor(level=1)
+    part, place, rest = TaskContext.get().partitionId(), 0, b""
 
     def rows(stream: bytes, whole: bool) -> list[tuple]:
         nonlocal place, rest
@@ -85,7 +71,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, length: int, end_id: int,
         made = []
         for at in range(0, stop, size):
             ids = np.frombuffer(stream[at:at + size], "<u4").astype(f"<u{width}")
-            made.append((part, place, len(ids), zlib.crc32(ids), shrunk(ids, squeeze)))
+            made.append((part, place, len(ids), zlib.crc32(ids), ids.tobytes()))
             place += 1
         rest = stream[stop:]
         return made
@@ -103,10 +89,10 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, length: int, end_id: int,
 
 
 def sequences(docs: DataFrame, text: str, path: str, length: int, end_id: int, width: int) -> tuple[DataFrame, int]:
-    """(sequence, n_tokens, crc, ids as compressed planes) with dense numbers, and how many there are."""
+    """(sequence, n_tokens, crc, ids) with dense numbers, and how many there are."""
     spark, at = docs.sparkSession, scratch_path(docs.sparkSession, "sequences")
     cut = docs.select(C.text_bytes(text)).mapInArrow(lambda batches: _cut(batches, path, length, end_id, width), SEQUENCES)
-    cut.write.option("compression", "none").parquet(at)
+    cut.write.option("compression", "zstd").option("parquet.block.size", GROUP_BYTES).parquet(at)
     cut = spark.read.schema(SEQUENCES).parquet(at)
     total, bases = 0, []
     for part, count in cut.groupBy("part").count().sort("part").collect():  # a row per scan task
@@ -116,21 +102,22 @@ def sequences(docs: DataFrame, text: str, path: str, length: int, end_id: int, w
     return cut.join(base, "part").select((F.col("base") + F.col("place")).alias("sequence"), "n_tokens", "crc", "ids"), total
 
 
-def _slots(n: int, key: int):
-    @F.arrow_udf(T.LongType())
-    def slot(numbers: pa.Array) -> pa.Array:
-        return pa.array(permuted(numbers.to_numpy(zero_copy_only=False), n, key))
-
-    return slot
+def _placed(batches: Iterator[pa.RecordBatch], n: int, key: int) -> Iterator[pa.RecordBatch]:
+    """Rows of sequences with their slots, ready to be shuffled."""
+    squeeze = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        numbers = batch.column(0).to_numpy(zero_copy_only=False)
+        ids = pa.array([squeeze.compress(x.as_buffer()) for x in batch.column(3)], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(permuted(numbers, n, key)), *batch.columns[:3], ids], [x.split()[0] for x in PLACED.split(", ")])
 
 
-def _records(batches: Iterator[pa.RecordBatch], stride: int, width: int) -> Iterator[pa.RecordBatch]:
+def _records(batches: Iterator[pa.RecordBatch], stride: int) -> Iterator[pa.RecordBatch]:
     """Record bytes, without the separator that the writer adds."""
     expand = zstandard.ZstdDecompressor()
     for batch in batches:
         rows = zip(*(batch.column(i).to_pylist() for i in range(4)))
         made = [(number.to_bytes(8, "little") + size.to_bytes(4, "little") + crc.to_bytes(4, "little")
-                 + restored(ids, size, width, expand)).ljust(stride - len(SEPARATOR), b"\0")
+                 + expand.decompress(ids)).ljust(stride - len(SEPARATOR), b"\0")
                 for number, size, crc, ids in rows]
         yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["value"])
 
@@ -147,9 +134,9 @@ def write_shards(docs: DataFrame, target: str, text: str = "text", path: str | N
     n_shards = -(-total // per_shard)
     manifest = {"sequences": total, "length": length, "width": width, "stride": stride, "per_shard": per_shard, "shards": n_shards, "key": key}
     if n_shards:
-        placed = cut.withColumn("slot", _slots(total, key)("sequence"))
+        placed = cut.mapInArrow(lambda batches: _placed(batches, total, key), PLACED)
         dealt = placed.repartitionById(n_shards, (F.col("slot") / per_shard).cast("int")).sortWithinPartitions("slot")
-        records = dealt.select("sequence", "n_tokens", "crc", "ids").mapInArrow(lambda batches: _records(batches, stride, width), "value binary")
+        records = dealt.select("sequence", "n_tokens", "crc", "ids").mapInArrow(lambda batches: _records(batches, stride), "value binary")
         # a string column may hold any bytes; the writer copies them
         records.select(F.col("value").cast("string")).write.option("lineSep", SEPARATOR.decode()).option("compression", "none").text(f"{target}/shards")
     docs.sparkSession.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.text(f"{target}/manifest")
