@@ -45,10 +45,43 @@ def test_chunks_follow_content():
     assert exact_dedup.chunks(b"") == [] and exact_dedup.chunks(b"short") == [b"short"]
 
 
-def test_chunk_table(odd):
-    rows = exact_dedup.chunk_table(odd).collect()
-    assert len(rows) == len({bytes(r.bytes) for r in rows})
-    assert sum(len(r.bytes) * r.uses for r in rows) == sum(len(exact_dedup.normalise((t or "").encode())) for _, t in odd_texts())
+def odd_chunks():
+    return [exact_dedup.chunks(exact_dedup.normalise((t or "").encode())) for _, t in odd_texts()]
+
+
+@pytest.mark.parametrize("bits", [64, 3])
+def test_chunk_table(odd, bits):
+    rows = {r.chunk_id: r for r in exact_dedup.chunk_table(exact_dedup.recipes(odd, bits=bits)).collect()}
+    uses = Counter(c for chunks in odd_chunks() for c in chunks)
+    want = defaultdict(list)
+    for c in uses:
+        want[xxhash.xxh64_intdigest(c) >> 64 - bits].append(c)
+    assert {i & (1 << bits) - 1 for i in rows} == set(want)
+    for i, r in rows.items():
+        mine = want[i & (1 << bits) - 1]
+        assert r.uses == sum(uses[c] for c in mine) and r.several == (len(mine) > 1)
+
+
+def test_identifiers_tell_chunks_of_one_hash_apart(odd):
+    # three bits leave eight hashes: nearly every chunk shares one, and the numbers alone must decide
+    rows = exact_dedup.identified(exact_dedup.recipes(odd, bits=3)).collect()
+    found = {}
+    for r in rows:
+        number = {x.place: x.number for x in r.numbers}
+        found.setdefault(tuple((i, number.get(k, 0)) for k, i in enumerate(r.recipe)), set()).add(bytes(r.sha))
+    assert all(len(shas) == 1 for shas in found.values())
+    assert len(found) == len({b"".join(c) for c in odd_chunks()})
+    key = lambda r: (r.doc_id or -1, r.keep_id or -1, r.group_size, r.kept, r.text_sha256)
+    assert sorted(map(key, exact_dedup.exact_duplicates(odd, bits=3).collect())) == sorted(map(key, exact_dedup.exact_duplicates(odd).collect()))
+
+
+def test_a_chunk_s_identifier_is_one_for_the_corpus(odd):
+    found = defaultdict(set)
+    for r in exact_dedup.occurrences(exact_dedup.recipes(odd)).collect():
+        found[r.chunk_id].add((r.d0, r.d1, r.d2, r.d3))
+    assert all(len(x) == 1 for x in found.values())
+    assert {b"".join(d.to_bytes(8, "little", signed=True) for d in x) for y in found.values() for x in y} == {
+        hashlib.sha256(c).digest() for chunks in odd_chunks() for c in chunks}
 
 
 # --- near copies
