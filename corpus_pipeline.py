@@ -1,4 +1,9 @@
-"""Cleaning and packing of a corpus of documents, stage by stage."""
+"""Cleaning and packing of a corpus of documents, stage by stage.
+
+Null texts count as empty; rows with null or repeated ids each count for themselves, of equal texts one row stays, nulls
+last. Further columns of any name are carried through all stages but the last. Without labels no document is toxic, without
+benchmark items none is contaminated; no documents give no pieces.
+"""
 
 from __future__ import annotations
 
