@@ -5,6 +5,7 @@ import re
 import corpus_pipeline
 import pytest
 
+from .conftest import odd_texts
 from .test_dedup import slow_components, slow_fingerprint
 from .test_text import slow_contamination
 
@@ -73,3 +74,14 @@ def test_everything_left_is_packed(stages):
 def test_run_gives_the_last_stage(spark, sf_dir, stages):
     rows = corpus_pipeline.run(spark, sf_dir).select("doc_id", "piece", "ids_crc32").collect()
     assert sorted(map(tuple, rows)) == sorted((r["doc_id"], r["piece"], r["ids_crc32"]) for r in stages[5][2])
+
+
+def test_odd_rows_and_empty_tables(spark, odd, nothing, odd_labels, tmp_path):
+    texts = {re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for _, t in odd_texts()}
+    left = len(set(slow_components([slow_fingerprint(t) for t in texts])))
+    for k, (docs, labels, want) in enumerate([(odd, odd_labels.limit(0), left), (nothing, odd_labels, 0)]):
+        tables = {"documents": docs, "labels": labels, "benchmark": spark.createDataFrame([], "item_id string, text string")}
+        for name, df in tables.items():
+            df.write.parquet(f"file:{tmp_path}/{k}/{name}.parquet")
+        rows = corpus_pipeline.run(spark, f"file:{tmp_path}/{k}").collect()
+        assert sum(r.piece == 0 for r in rows) == want
