@@ -349,6 +349,16 @@ def test_the_minimum_is_that_of_all_tasks_together(spark):
     assert all((a == b).all() for a, b in zip(apart, together)) and sum(map(np.count_nonzero, apart)) > 0
 
 
+def test_what_was_seen_enough_has_a_say_at_every_size(spark):
+    for more in (10, 50_000_000):
+        pairs = spark.createDataFrame([(b"bravo", 0, mixing.SEEN, 0), (b"kilo", 0, more, 5)], "word binary, accent int, main bigint, tune bigint")
+        model = mixing.fit(pairs, mixing.SEEN + more + 5)
+        slot = mixing.Bytes([b"bravo"], np.zeros(1, np.int64)).slots(5, slice(3, 4), np.array([1], np.uint64))[0]
+        assert model.tables[5][slot] != 0
+    empty = mixing.fit(pairs.limit(0), 0)
+    assert not any(t.any() for t in empty.tables) and np.isfinite(empty.bits([b"bravo"], np.zeros(1, np.int64))).all()
+
+
 def test_mixed_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     model = mixing.Model([rng.integers(-127, 128, 1 << bits).astype(np.int8) for bits in mixing.SLOTS],

@@ -15,8 +15,8 @@ pairs over buckets by a hash of the word, one compressed row for each. A word is
 often the word occurs. Buckets sum the pairs over all blocks; the pairs fill the hashed counts, which are summed by slot. Buckets then
 price their pairs and send each block the prices of its own; blocks add them up by text.
 
-Contexts seen less than SEEN times have no say, nor those of less than RISE
-occurrences for each time that the training words would fill the largest table; so the tables don't fill up as the corpus grows. Both hold for the sums over all tasks. The weights and the map are learned
+Contexts seen less than SEEN times have no say, whatever the size of the corpus; the times are summed over all tasks. Contexts that
+fall on one slot share its counts. The weights and the map are learned
 online over mini-batches of the texts with remainder 1, in parallel, and averaged, on the counts of the other
 training texts, so the weights see contexts as new texts do; the final counts are those of all training texts. One pass makes both. The model has a fixed size of SLOTS and is broadcast.
 
@@ -46,7 +46,7 @@ from . import common as C
 
 END = b"\n"
 SLOTS = (20, 22, 22, 22, 22, 22, 22)  # bits of each predictor's table
-SEEN, RISE, BLOCK_BYTES, CHUNK = 3, 10, 16 << 20, 1 << 15
+SEEN, BLOCK_BYTES, CHUNK = 3, 16 << 20, 1 << 15
 SLICE = 40_000  # words that are coded at once
 BATCH, EPOCHS = 1 << 12, 3  # of online learning: coded bytes of a mini-batch, passes
 LEARNER_PAIRS = 100_000  # each learner has as many pairs at least, unless there are fewer
@@ -164,11 +164,6 @@ def decisions(byte: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray]:
 
 # --- the model
 
-def least_seen(total: int) -> int:
-    """Occurrences that a context needs, given the training words."""
-    return max(SEEN, math.ceil(RISE * total / (1 << max(SLOTS))))
-
-
 def logits(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Counts as logits in a byte; zero where there are none."""
     value = np.log((ones + 0.4) / (zeros + 0.4))
@@ -490,7 +485,10 @@ def tuned(pairs: DataFrame, made: list[np.ndarray]) -> tuple[np.ndarray, np.ndar
 
 
 def fit(pairs: DataFrame, total: int) -> Model:
-    main, every = tables(pairs, least_seen(total))
+    """The model of `total` training words; without any, its start."""
+    if not total:
+        return Model([np.zeros(1 << bits, np.int8) for bits in SLOTS])
+    main, every = tables(pairs, SEEN)
     return Model(every, *tuned(pairs, main))
 
 
