@@ -7,8 +7,8 @@ Texts that hold the mark of a special token are encoded as a whole.
 
 from __future__ import annotations
 
+import codecs
 import re
-import struct
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -19,8 +19,8 @@ DEFAULT = "word_bpe_49k.json"
 KEPT = 200_000
 #: ASCII marks at which the tokenizer splits a word of letters; the apostrophe is not one, it may go with the letters after it.
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-#: Letters from ASCII and Latin-1.
-LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: Letters from ASCII and Latin-1, at least one of the latter.
+LETTERS = re.compile(rb"[a-z]*(?:\xc3[\x80-\x96\x98-\xb6\xb8-\xbf][a-z]*)+")
 
 
 def tokenizer_path(name: str = DEFAULT) -> str:
@@ -36,12 +36,20 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def latin_letters() -> str:
+    """The letters of `byte_letters` by byte; those of a second byte of a Latin-1 capital are those of its small letter."""
+    letters = byte_letters()
+    small = lambda b: b + 32 if 0x80 <= b <= 0x9E else b
+    return "".join(letters.get(small(b), chr(small(b))) for b in range(256))
+
+
 class _Words(dict):
     """Ids of a lower-cased word as little-endian unsigned 32-bit numbers; unseen words are encoded."""
 
     def __init__(self, model: Tokenizer):
         super().__init__()
-        self.model, self.merges, self.letters = model, model.model, byte_letters()
+        self.model, self.merges, self.letters = model, model.model, latin_letters()
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(max(model.get_vocab().values(), default=-1) + 1)]
         self.old: dict[bytes, bytes] = {}
         self.parts, self.old_parts = {b"": b""}, {b"": b""}
 
@@ -54,9 +62,8 @@ class _Words(dict):
         if ids is None and (ids := self.old_parts.get(part)) is not None:
             self.parts[part] = ids
         if ids is None:
-            text = part.decode("ascii") if part.isascii() else part.decode().lower().encode().decode("latin-1").translate(self.letters)
-            found = [t.id for t in self.merges.tokenize(text)]
-            ids = self.parts[part] = struct.pack(f"<{len(found)}I", *found)
+            text = part.decode("ascii") if part.isascii() else codecs.charmap_decode(part, "strict", self.letters)[0]
+            ids = self.parts[part] = b"".join([self.id_bytes[t.id] for t in self.merges.tokenize(text)])
         return ids
 
     def __missing__(self, word: bytes) -> bytes:
