@@ -56,6 +56,44 @@ def test_an_unseen_word_takes_few_calls(model):
     assert calls["call"] + calls["c_call"] < 18 * len(words), calls
 
 
+class Counted(dict):
+    """Ids of words, and how often each was asked for."""
+
+    def __init__(self, words):
+        self.words, self.asked = words, Counter()
+
+    def __getitem__(self, word):
+        self.asked[word] += 1
+        return self.words[word]
+
+    def trim(self):
+        self.words.trim()
+
+
+def test_a_word_of_a_text_is_looked_up_once(model):
+    ours = tokens.TextTokenizer(tokens.tokenizer_path())
+    ours.words = Counted(ours.words)
+    text = "The mél, 12 don't (the... MÉL)\n" * 500
+    assert np.frombuffer(ours.ids(text.encode()), "<u4").tolist() == true_ids(model, text)
+    assert max(ours.words.asked.values()) <= 2, ours.words.asked  # the capital É is another word than é
+
+
+def test_ids_of_many_odd_texts(model, monkeypatch):
+    rng = np.random.default_rng(8)
+    signs = [*"aabbZs'' \t\n\r.,!-_()=<>09", "'s", "'ll", "é", "É", "ß", "×", "÷", "ÿ", "\u0301", "\u0338", "\u00a0", "\u2003", "\u0085", "\x00", "\x1c", "\x7f",
+             "中", "」", "½", "²", "٣", "😀", "İ", "\u212a", "Σ", "Ā", "ſ", "\u037e"]
+    texts = ["".join(rng.choice(signs, rng.integers(0, 30))) for _ in range(3000)] + ["", " ", "a" * 300, "x <|endoftext|>y", "<|startoftext|>"]
+    texts = [texts[k] for k in rng.permutation(len(texts))]
+    want = [true_ids(model, t) for t in texts]
+    for group, kept in ((tokens.GROUP, tokens.KEPT), (100, 50), (0, 0)):
+        monkeypatch.setattr(tokens, "GROUP", group)
+        monkeypatch.setattr(tokens, "KEPT", kept)
+        ours = tokens.TextTokenizer(tokens.tokenizer_path())
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in ours.ids_of(t.encode() for t in texts)]
+        assert got == want, [(t, g, w) for t, g, w in zip(texts, got, want) if g != w][:3]
+    assert list(ours.ids_of([])) == []
+
+
 def test_pack(odd, nothing, model):
     rows = packing.pack(odd, length=256).collect()
     want = Counter()

@@ -69,8 +69,8 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, length: int, most_open:
     bins = BestFit(length, most_open, TaskContext.get().partitionId() << 40)
     for batch in batches:
         cut = [(len(part) // 4, row, piece, start, zlib.crc32(part))
-               for row, data in zip(batch.column(0).to_pylist(), C.byte_texts(batch.column(1)))
-               for piece, start, part in pieces(tokenizer.ids(data) + end, length)]
+               for row, ids in zip(batch.column(0).to_pylist(), tokenizer.ids_of(C.byte_texts(batch.column(1))))
+               for piece, start, part in pieces(ids + end, length)]
         cut.sort(key=lambda p: -p[0])
         placed = [(row, piece, start, size, crc, *bins.add(size)) for size, row, piece, start, crc in cut]
         if placed:

@@ -1,26 +1,38 @@
 """Token ids of whole texts by a public word tokenizer, with the ids of words kept between texts.
 
-The tokenizer lower-cases, drops white space and never joins across it, so the ids of a text are those of its
-words one after the other. `TextTokenizer` encodes each distinct word once per worker and joins the kept ids.
-Texts that hold the mark of a special token are encoded as a whole.
+The tokenizer lower-cases, drops white space and never joins across it, nor from letters to digits or to marks other than
+the apostrophe, so the ids of a text are those of its words one after the other. `TextTokenizer` cuts a group of texts into
+words by array operations, looks up each distinct word of the group once and gathers the ids. Words are encoded once per
+worker, as long as they stay in use. Texts that hold the mark of a special token are encoded as a whole.
 """
 
 from __future__ import annotations
 
 import codecs
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 DEFAULT = "word_bpe_49k.json"
 #: Words of a generation. When the young words are that many they become the old ones, and the old ones that were not
 #: asked for since are dropped; so words in use stay. This changes speed only.
 KEPT = 200_000
+#: Bytes of the texts that are cut together; a longer text is cut alone. This changes speed and memory only.
+GROUP = 4 << 20
 #: ASCII marks at which the tokenizer splits a word of letters; the apostrophe is not one, it may go with the letters after it.
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+SPACES = b" \t\n\v\f\r"
 #: Letters from ASCII and Latin-1, at least one of the latter.
 LETTERS = re.compile(rb"[a-z]*(?:\xc3[\x80-\x96\x98-\xb6\xb8-\xbf][a-z]*)+")
+#: Kinds of bytes: white space, letters, marks, digits, others.
+SPACE, LETTER, MARK, DIGIT, OTHER = range(5)
+KINDS = bytes(SPACE if b in SPACES else LETTER if 97 <= b <= 122 else MARK if b in MARKS else DIGIT if 48 <= b <= 57 else OTHER for b in range(256))
+#: By a byte's kind and that of the byte before it, as kind + 5 * kind before: whether a word begins there. Nothing is known of others.
+BEGINS = bytes(a == SPACE or a != b and OTHER not in (a, b) for a in range(5) for b in range(5)).ljust(256, b"\0")
+SPACE_PAIRS = bytes(5 * a + SPACE for a in range(5))
 
 
 def tokenizer_path(name: str = DEFAULT) -> str:
@@ -51,41 +63,48 @@ class _Words(dict):
         self.model, self.merges, self.letters = model, model.model, latin_letters()
         self.id_bytes = [i.to_bytes(4, "little") for i in range(max(model.get_vocab().values(), default=-1) + 1)]
         self.old: dict[bytes, bytes] = {}
-        self.parts, self.old_parts = {b"": b""}, {b"": b""}
 
     def encode(self, data: bytes) -> bytes:
         return np.array(self.model.encode(data.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _part(self, part: bytes) -> bytes:
-        """Ids of a run of letters or of marks, which goes to the merges as it is."""
-        ids = self.parts.get(part)
-        if ids is None and (ids := self.old_parts.get(part)) is not None:
-            self.parts[part] = ids
-        if ids is None:
-            text = part.decode("ascii") if part.isascii() else codecs.charmap_decode(part, "strict", self.letters)[0]
-            ids = self.parts[part] = b"".join([self.id_bytes[t.id] for t in self.merges.tokenize(text)])
-        return ids
-
     def __missing__(self, word: bytes) -> bytes:
         ids = self.old.get(word)
         if ids is None:
-            tail = word.lstrip(MARKS)
-            core = tail.rstrip(MARKS)
-            if core.isalpha() or LETTERS.fullmatch(core):  # marks, letters, marks: the tokenizer splits just there
-                ids = self._part(core)
-                if len(core) < len(word):
-                    ids = self._part(word[:len(word) - len(tail)]) + ids + self._part(tail[len(core):])
+            if word.isalpha() or not word.strip(MARKS):  # goes to the merges as it is
+                ids = self._merged(word.decode("ascii"))
+            elif LETTERS.fullmatch(word):
+                ids = self._merged(codecs.charmap_decode(word, "strict", self.letters)[0])
             else:
                 ids = self.encode(word)
         self[word] = ids
         return ids
 
+    def _merged(self, text: str) -> bytes:
+        return b"".join([self.id_bytes[t.id] for t in self.merges.tokenize(text)])
+
     def trim(self) -> None:
         if len(self) > KEPT:
             self.old = dict(self)
             self.clear()
-        if len(self.parts) > KEPT:
-            self.parts, self.old_parts = {b"": b""}, self.parts
+
+
+def _kinds(data: bytes) -> np.ndarray:
+    """Kind of each byte of a lower-cased text; both bytes of a Latin-1 letter are letters."""
+    kinds = np.frombuffer(bytearray(data.translate(KINDS)), np.uint8)
+    if b"\xc3" in data:
+        raw = np.frombuffer(data, np.uint8)
+        lead = np.flatnonzero(raw[:-1] == 0xC3)
+        second = raw[lead + 1]
+        lead = lead[(second >= 0x80) & (second <= 0xBF) & (second != 0x97) & (second != 0xB7)]
+        kinds[lead] = kinds[lead + 1] = LETTER
+    return kinds
+
+
+def _values(array: pa.Array) -> Iterator[bytes]:
+    """Values of a binary array without nulls; much cheaper than `to_pylist`."""
+    _, ends, data = array.buffers()
+    ends, data = np.frombuffer(ends, np.int32)[:len(array) + 1].tolist(), data.to_pybytes()
+    return (data[at:end] for at, end in zip(ends, ends[1:]))
 
 
 class TextTokenizer:
@@ -95,13 +114,43 @@ class TextTokenizer:
         self.marks = [m.encode() for m in added]
         self.words = _Words(self.model)
 
-    def ids(self, data: bytes) -> bytes:
-        """Ids of a UTF-8 text, 4 bytes each, without special tokens."""
-        if any(m in data for m in self.marks):
-            return self.words.encode(data)
-        ids = b"".join(map(self.words.__getitem__, data.lower().split()))
+    def _group(self, texts: list[bytes]) -> Iterator[bytes]:
+        bare = [t.translate(None, SPACES) for t in texts]
+        data = b"".join(bare).lower()
+        if not data:
+            yield from bare
+            return
+        kinds = _kinds(b" ".join(texts).lower())
+        kinds[1:] += 5 * kinds[:-1]
+        begins = np.flatnonzero(np.frombuffer(kinds.tobytes().translate(BEGINS, SPACE_PAIRS), bool))  # places in data, which has no white space
+        offsets = pa.py_buffer(np.append(begins, len(data)).astype(np.int32))
+        words = pa.Array.from_buffers(pa.binary(), len(begins), [None, offsets, pa.py_buffer(data)]).dictionary_encode()
+        known = pa.array(map(self.words.__getitem__, _values(words.dictionary)), pa.large_binary())
         self.words.trim()
-        return ids
+        _, ends, ids = known.take(words.indices).buffers()
+        firsts = np.searchsorted(begins, np.cumsum([0, *map(len, bare)]))
+        bounds = np.frombuffer(ends, np.int64)[firsts].tolist()
+        for at, end in zip(bounds, bounds[1:]):
+            yield ids[at:end].to_pybytes()
+
+    def ids_of(self, texts: Iterable[bytes]) -> Iterator[bytes]:
+        """Ids of each of some UTF-8 texts, 4 bytes each, without special tokens."""
+        group, size = [], 0
+        for data in texts:
+            whole = any(m in data for m in self.marks)
+            if whole or size + len(data) > GROUP:
+                yield from self._group(group)
+                group, size = [], 0
+            if whole:
+                yield self.words.encode(data)
+            else:
+                group.append(data)
+                size += len(data)
+        yield from self._group(group)
+
+    def ids(self, data: bytes) -> bytes:
+        """Ids of one text."""
+        return next(self.ids_of([data]))
 
 
 _MADE: dict[str, TextTokenizer] = {}

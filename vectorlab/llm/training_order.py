@@ -81,7 +81,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, length: int, end_id: int,
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made), types)], [x.split()[0] for x in SEQUENCES.split(", ")])
 
     for batch in batches:
-        made = rows(rest + b"".join(tokenizer.ids(data) + end for data in C.byte_texts(batch.column(0))), whole=False)
+        made = rows(rest + b"".join(ids + end for ids in tokenizer.ids_of(C.byte_texts(batch.column(0)))), whole=False)
         if made:
             yield batch_of(made)
     if rest:
