@@ -9,6 +9,8 @@ import pyarrow as pa
 
 NO_ID = np.iinfo(np.int64).max
 PAIR_BUDGET = 1 << 22
+# squared lengths whose products and quotients neither overflow nor vanish in double precision
+PLAIN_SQUARES = (1e-140, 1e140)
 
 
 BIT_METRICS = ("HAMMING", "JACCARD")
@@ -46,6 +48,10 @@ class Space:
     `exact` re-evaluates single pairs in double precision in a fixed order. Rows that survive
     the coarse bound are ranked by the exact value, so the answer is exact. `decode`
     (offset, step) turns scalar codes back into components.
+
+    Under COSINE both sides are divided by their lengths before they are rounded, so that the
+    coarse value, cosine with the sign changed, is the product itself. Vectors without a plain
+    length are NaN there (missing if it is zero or NaN) and evaluated exactly if need be.
     """
 
     name: str
@@ -53,6 +59,9 @@ class Space:
     decode: tuple[np.ndarray, np.ndarray] | None = None
     _single: np.ndarray | None = field(default=None, repr=False)
     _aux: np.ndarray | None = field(default=None, repr=False)
+    _squares: np.ndarray | None = field(default=None, repr=False)
+    _odd: np.ndarray | None = field(default=None, repr=False)
+    _last: tuple | None = field(default=None, repr=False)
 
     def __post_init__(self):
         if self.name in BIT_METRICS:
@@ -62,6 +71,25 @@ class Space:
         self.queries = np.asarray(self.queries, np.float64)
         self._single = self.queries.astype(np.float32)
         self._aux = np.einsum("ij,ij->i", self._single, self._single)
+        if self.name == "COSINE":
+            self._squares, self._single, self._odd = self._unit(self.queries)
+            np.negative(self._single, out=self._single)
+
+    @staticmethod
+    def _unit(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Squared lengths, rows over their lengths in single precision, positions of those to evaluate exactly."""
+        x = x.astype(np.float64, copy=False)
+        with np.errstate(over="ignore", invalid="ignore"):
+            squares = running_sum(x * x)
+            plain = (squares >= PLAIN_SQUARES[0]) & (squares <= PLAIN_SQUARES[1])
+            unit = (x / np.sqrt(np.where(plain, squares, np.nan))[:, None]).astype(np.float32)
+        return squares, unit, np.flatnonzero(~plain & (squares > 0))
+
+    def _rows(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """`_unit` of corpus rows, kept for the next queries that meet the same rows."""
+        if self._last is None or self._last[0] is not x:
+            self._last = (x, self._unit(x))
+        return self._last[1]
 
     @staticmethod
     def _bits(codes: np.ndarray) -> np.ndarray:
@@ -75,6 +103,16 @@ class Space:
         return matrix(column, None)
 
     def coarse(self, rows: slice, x: np.ndarray) -> np.ndarray:
+        if self.name == "COSINE":
+            _, unit, odd = self._rows(x)
+            value = self._single[rows] @ unit.T
+            if len(odd) or len(self._odd):
+                positions = np.arange(len(self.queries))[rows]
+                for at in np.flatnonzero(np.isin(positions, self._odd)):
+                    value[at] = self.exact(np.full(len(x), positions[at]), x, np.arange(len(x))) - 1.0
+                for at in odd:
+                    value[:, at] = self.exact(positions, x, np.full(len(positions), at)) - 1.0
+            return value
         single = x.astype(np.float32, copy=False)
         aux = self._aux[rows][:, None]
         product = self._single[rows] @ single.T
@@ -87,11 +125,6 @@ class Space:
             with np.errstate(divide="ignore", invalid="ignore"):
                 return np.where(ones > 0, 1.0 - product.astype(np.float64) / (ones - product), 1.0)
         sizes = np.einsum("ij,ij->i", single, single)
-        if self.name == "COSINE":
-            size = np.sqrt(aux * sizes[None, :])
-            with np.errstate(divide="ignore", invalid="ignore"):
-                value = 1.0 - product / size
-            return np.where(size > 0, value, np.inf)
         product *= -2.0
         product += aux
         product += sizes[None, :]
@@ -111,6 +144,8 @@ class Space:
         return np.where(np.isfinite(bound), bound, np.inf)
 
     def as_coarse(self, dist: np.ndarray) -> np.ndarray:
+        if self.name == "COSINE":
+            return dist - 1.0
         return dist * dist if self.name == "L2" else dist
 
     def exact(self, qi: np.ndarray, x: np.ndarray, xi: np.ndarray) -> np.ndarray:
@@ -118,7 +153,11 @@ class Space:
         step = max(1, PAIR_BUDGET // max(1, x.shape[1]))
         for lo in range(0, len(qi), step):
             part = slice(lo, lo + step)
-            out[part] = self._exact(self.queries[qi[part]], x[xi[part]].astype(np.float64, copy=False))
+            a, b = self.queries[qi[part]], x[xi[part]].astype(np.float64, copy=False)
+            if self.name == "COSINE":
+                out[part] = self._cosine(a, b, self._squares[qi[part]], self._rows(x)[0][xi[part]])
+            else:
+                out[part] = self._exact(a, b)
         return np.where(np.isnan(out), np.inf, out)  # a missing distance comes last
 
     def _exact(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -134,9 +173,13 @@ class Space:
             either = np.maximum(a, b).sum(axis=1).astype(np.float64)
             with np.errstate(divide="ignore", invalid="ignore"):
                 return np.where(either > 0, 1.0 - product / either, 1.0)
-        size = np.sqrt(running_sum(a * a) * running_sum(b * b))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            return np.where(size > 0, 1.0 - product / size, np.inf)
+        raise ValueError(self.name)
+
+    @staticmethod
+    def _cosine(a: np.ndarray, b: np.ndarray, a_squares: np.ndarray, b_squares: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
+            size = np.sqrt(a_squares * b_squares)
+            return np.where(size > 0, 1.0 - running_sum(a * b) / size, np.inf)
 
 
 class CodeSpace(Space):
@@ -199,11 +242,14 @@ class TopK:
     def _add_rows(self, rows, ids: np.ndarray, x: np.ndarray, distinct: bool = False) -> None:
         k = self.k
         coarse = self.space.coarse(rows, x)
-        coarse = np.where(np.isnan(coarse), np.inf, coarse)
         slack = self.space.slack(rows, x)
         limit = self.space.as_coarse(self.dist[rows, k - 1]) + slack
-        hits = coarse <= limit[:, None]
+        # in the type of the coarse values and rounded up, the limit loses no row; a missing distance passes none but infinity
+        with np.errstate(over="ignore"):
+            hits = coarse <= np.nextafter(limit.astype(coarse.dtype), coarse.dtype.type(np.inf))[:, None]
+        hits[limit == np.inf] = True
         if coarse.shape[1] > k and np.count_nonzero(hits) > 4 * k * coarse.shape[0]:
+            coarse = np.where(np.isnan(coarse), np.inf, coarse)
             # the task has no good bound yet, so the k-th best of this batch is one; its coarse value and
             # that of the row to keep may each be off by the slack
             tight = np.partition(coarse, k - 1, axis=1)[:, k - 1]
@@ -211,7 +257,7 @@ class TopK:
         flat = np.flatnonzero(hits)
         qi, xi = np.divmod(flat, coarse.shape[1])
         if not distinct and len(qi) > 8 * k * coarse.shape[0]:
-            keep = _k_copies(ids, x, k)
+            keep = k_copies(ids, x, k)
             if len(keep) < len(ids):
                 self._add_rows(rows, ids[keep], x[keep], distinct=True)
                 return
@@ -240,7 +286,7 @@ class TopK:
         return qi, self.ids[found], self.dist[found]
 
 
-def _k_copies(ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+def k_copies(ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
     """Positions of at most k rows per distinct vector, lowest ids first.
 
     Copies are at one distance and ties go to the lower id, so no other copy can be an answer.

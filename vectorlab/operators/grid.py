@@ -1,6 +1,6 @@
 """Top-k for query sets of any size: a grid of query blocks against corpus blocks.
 
-Both sides are packed into rows that hold a few thousand vectors each and written to the shared folder. A task reads a
+Both sides are packed into rows that hold thousands of vectors each and written to the shared folder. A task reads a
 range of query blocks and a range of corpus blocks from there, keeps k rows for each query of the block at hand, and
 sends one row per query block: the k best ids and distances as matrices. These are mergeable in any order; the answers
 of a block are folded one by one. No query passes the driver, nothing is broadcast, and it is one job however many
@@ -20,16 +20,21 @@ from pyspark.sql import functions as F
 
 from ..functions.metrics import metric as metric_of
 from ..session import materialise
-from .blocks import BIT_METRICS, NO_ID, Space, TopK, matrix
+from .blocks import BIT_METRICS, NO_ID, Space, TopK, k_copies, matrix
 
 RESULT = "qid bigint, id bigint, dist double, rank int"
-BLOCK_BYTES = 2 << 20
+#: A cell costs the bytes of its two blocks to move and the product of their rows to compute.
+BLOCK_BYTES = 8 << 20
 #: Bytes of corpus blocks that a task holds, and tasks wanted for each core.
 RANGE_BYTES, WAVES = 256 << 20, 4
 
 
-def packed(rows: DataFrame, name: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """`rows(id, emb)` as written blocks (block, ids, vectors, type, dim); ids are 64-bit, vectors keep their element type."""
+def packed(rows: DataFrame, name: str, block_bytes: int = BLOCK_BYTES, copies: int | None = None,
+           row_bytes: int = 0) -> DataFrame:
+    """`rows(id, emb)` as written blocks (block, ids, vectors, type, dim); ids are 64-bit, vectors keep their element type.
+
+    With `copies`, a block keeps that many rows of one vector, lowest ids first. A row counts as `row_bytes` at least.
+    """
     def run(batches: Iterator[pa.RecordBatch]):
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -37,6 +42,9 @@ def packed(rows: DataFrame, name: str, block_bytes: int = BLOCK_BYTES) -> DataFr
             x = np.concatenate([m for _, m in held])
             ids = np.concatenate([i for i, _ in held])
             held.clear()
+            if copies is not None and x.shape[1]:
+                keep = k_copies(ids, x, copies)
+                ids, x = ids[keep], x[keep]
             return pa.RecordBatch.from_arrays(
                 [pa.array([ids.tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary()), pa.array([x.dtype.str]), pa.array([x.shape[1]], pa.int32())],
                 ["ids", "vectors", "type", "dim"])
@@ -47,7 +55,7 @@ def packed(rows: DataFrame, name: str, block_bytes: int = BLOCK_BYTES) -> DataFr
             ids, x = batch.column(0).to_numpy(zero_copy_only=False), matrix(batch.column(1), None)
             if held and held[0][1].shape[1] != x.shape[1]:
                 raise ValueError("vectors of different lengths")
-            step = max(1, block_bytes // max(1, x.shape[1] * x.itemsize))
+            step = max(1, block_bytes // max(1, x.shape[1] * x.itemsize, row_bytes))
             while len(ids):
                 room = step - sum(len(i) for i, _ in held)
                 held.append((ids[:room], x[:room]))
@@ -61,7 +69,7 @@ def packed(rows: DataFrame, name: str, block_bytes: int = BLOCK_BYTES) -> DataFr
     return materialise(blocks.withColumn("block", F.monotonically_increasing_id()), name)
 
 
-def _matrix(raw: bytes, kind: str, dim: int) -> np.ndarray:
+def _matrix(raw: pa.Buffer, kind: str, dim: int) -> np.ndarray:
     return np.frombuffer(raw, np.dtype(kind)).reshape(-1, dim)
 
 
@@ -80,11 +88,11 @@ def _cells(name: str, k: int):
                 if (block := columns["block"][i].as_py()) != now:
                     if now is not None:
                         yield answer()
-                    now, qids = block, np.frombuffer(columns["qids"][i].as_py(), np.int64)
-                    asked = _matrix(columns["queries"][i].as_py(), columns["q_type"][i].as_py(), columns["q_dim"][i].as_py())
+                    now, qids = block, np.frombuffer(columns["qids"][i].as_buffer(), np.int64)
+                    asked = _matrix(columns["queries"][i].as_buffer(), columns["q_type"][i].as_py(), columns["q_dim"][i].as_py())
                     best = TopK(Space(name, asked), k)
-                x = _matrix(columns["vectors"][i].as_py(), columns["type"][i].as_py(), columns["dim"][i].as_py())
-                best.add(np.frombuffer(columns["ids"][i].as_py(), np.int64), best.space._bits(x) if name in BIT_METRICS else x)
+                x = _matrix(columns["vectors"][i].as_buffer(), columns["type"][i].as_py(), columns["dim"][i].as_py())
+                best.add(np.frombuffer(columns["ids"][i].as_buffer(), np.int64), best.space._bits(x) if name in BIT_METRICS else x)
         if now is not None:
             yield answer()
 
@@ -124,9 +132,11 @@ def grid_top_k(queries: DataFrame, corpus: DataFrame, k: int = 100, metric: str
                block_bytes: int = BLOCK_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Exact k nearest rows of `corpus(id, emb)` for every row of `queries(qid, emb)`, whatever the number of queries."""
     spark = queries.sparkSession
-    asked = packed(queries.select(F.col("qid").cast("bigint").alias("id"), "emb"), "query-blocks", block_bytes)
+    if metric_of(metric).name in BIT_METRICS:  # a bit becomes four bytes where it is compared
+        block_bytes = min(block_bytes, BLOCK_BYTES // 4)
+    asked = packed(queries.select(F.col("qid").cast("bigint").alias("id"), "emb"), "query-blocks", block_bytes, row_bytes=16 * k)
     rows = corpus if where is None else corpus.where(where)
-    stored = packed(rows.select(F.col("id").cast("bigint").alias("id"), "emb"), "corpus-blocks", block_bytes)
+    stored = packed(rows.select(F.col("id").cast("bigint").alias("id"), "emb"), "corpus-blocks", block_bytes, k)
     left = asked.select("block", F.col("ids").alias("qids"), F.col("vectors").alias("queries"), F.col("type").alias("q_type"), F.col("dim").alias("q_dim"))
     size = stored.agg(F.coalesce(F.sum(F.octet_length("vectors")), F.lit(0))).first()[0]
     ranges = max(-(-size // range_bytes), -(-WAVES * spark.sparkContext.defaultParallelism // max(1, left.rdd.getNumPartitions())))

@@ -335,7 +335,7 @@ def top_k_self(spark, sf):
 def whole_truth(spark, sf):
     """Exact neighbours of every corpus row, as lists."""
     c = scaled(spark, sf)
-    truth = S.answer_lists(grid_top_k(c.select(F.col("id").alias("qid"), "emb"), c, 10, "COSINE", block_bytes=1 << 15), ids="neighbors_id")
+    truth = S.answer_lists(grid_top_k(c.select(F.col("id").alias("qid"), "emb"), c, 10, "COSINE"), ids="neighbors_id")
     return truth.select(F.col("qid").alias("id"), F.posexplode("neighbors_id").alias("p", "neighbor")).select(
         "id", (F.col("p") + 1).cast("bigint").alias("position"), "neighbor")
 
