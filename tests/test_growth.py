@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from vectorlab.operators import grid
+from vectorlab.operators import frontier, grid
 from vectorlab.operators.blocks import Space, TopK
 from vectorlab.registry import vectors as queries
 
@@ -43,3 +43,27 @@ def test_cosine_of_any_length(length):
         best.add(part, x[part])
     assert best.ids.tolist() == [np.lexsort((np.arange(300), d))[:6].tolist() for d in dist]
     assert np.array_equal(best.dist, np.sort(dist, axis=1)[:, :6])
+
+
+def test_frontier_takes_each_point_once(spark):
+    rng = np.random.default_rng(5)
+    rows = [("a" if i % 7 else "b", float(rng.integers(0, 40)) if i % 50 else None, float(rng.integers(0, 90)) if i % 31 else None, i) for i in range(3000)]
+    points = spark.createDataFrame(rows, "db string, recall double, qps double, seq bigint").repartition(6)
+    parts = dict(zip((True, False), frontier.split_frontier(points, ["db"])))
+    for on, part in parts.items():
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan  # a frame that ends with the window is quadratic
+        want, latest = [], {}
+        for r in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[3]), reverse=True):
+            later = latest.get(r[0])
+            if (later is None or (None if r[2] is None else r[2] >= later)) is on:
+                want.append(r)
+            if r[2] is not None:
+                latest[r[0]] = r[2] if later is None else max(later, r[2])
+        assert sorted(map(tuple, part.collect()), key=lambda r: r[3]) == sorted(want, key=lambda r: r[3])
+
+
+def test_points_of_one_position_keep_their_order(spark):
+    points = spark.createDataFrame([("a", 0.5, q, 1) for q in (5.0, 3.0, 4.0)], "db string, recall double, qps double, seq bigint").coalesce(1)
+    best, rest = frontier.split_frontier(points, ["db"])
+    assert sorted(r.qps for r in best.collect()) == [4.0, 5.0] and [r.qps for r in rest.collect()] == [3.0]

@@ -13,15 +13,17 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 
-CHUNK = "_chunk"
+CHUNK, PLACE = "_chunk", "_place"
 
 
-def chunked(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def chunked(df: DataFrame, keys: list[str], order: list[str], place: str | None = None) -> DataFrame:
+    """The table by ranges, each with its number; `place` gets numbers that grow within a range."""
     ranged = df.repartitionByRange(*keys, *order) if keys or order else df
-    return materialise(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
+    ranged = ranged.withColumn(CHUNK, F.spark_partition_id())
+    return materialise(ranged.withColumn(place, F.monotonically_increasing_id()) if place else ranged, "chunks")
 
 
-def _within(keys: list[str], order: list[str]) -> Window:
+def _within(keys: list[str], order: list[str | Column]) -> Window:
     return Window.partitionBy(*keys, CHUNK).orderBy(*order)
 
 
@@ -45,11 +47,16 @@ def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str, ou
 
 
 def max_of_later(df: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
-    """Largest value after each row; null on the last one."""
-    across = _across(keys).rowsBetween(1, Window.unboundedFollowing)
-    rows = _with_carry(chunked(df, keys, order), keys, F.max(value), F.max("_part").over(across))
-    here = F.max(value).over(_within(keys, order).rowsBetween(1, Window.unboundedFollowing))
-    return rows.withColumn(out, F.greatest(here, "_carry")).drop(CHUNK, "_carry")
+    """Largest value after each row; null on the last one.
+
+    Chunks and rows are taken from the last to the first: a frame that begins with its window is
+    carried from row to row, one that ends with it would be gone over again for every row. Rows
+    of one position keep the order in which their chunk was written.
+    """
+    backwards = Window.partitionBy(*keys).orderBy(F.desc(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
+    rows = _with_carry(chunked(df, keys, order, PLACE), keys, F.max(value), F.max("_part").over(backwards))
+    before = _within(keys, [F.desc(c) for c in [*order, PLACE]]).rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn(out, F.greatest(F.max(value).over(before), "_carry")).drop(CHUNK, PLACE, "_carry")
 
 
 def last_known(df: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
