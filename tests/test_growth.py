@@ -5,6 +5,7 @@ import pytest
 
 from vectorlab.operators import frontier, grid
 from vectorlab.operators.blocks import Space, TopK
+from vectorlab.registry import scoring
 from vectorlab.registry import vectors as queries
 
 from .conftest import vectors
@@ -67,3 +68,17 @@ def test_points_of_one_position_keep_their_order(spark):
     points = spark.createDataFrame([("a", 0.5, q, 1) for q in (5.0, 3.0, 4.0)], "db string, recall double, qps double, seq bigint").coalesce(1)
     best, rest = frontier.split_frontier(points, ["db"])
     assert sorted(r.qps for r in best.collect()) == [4.0, 5.0] and [r.qps for r in rest.collect()] == [3.0]
+
+
+@pytest.mark.parametrize("query, on", [(scoring.off_frontier, False), (scoring.frontier, True)])
+def test_frontier_queries_over_one_large_group(spark, tmp_path, query, on):
+    n = 40_000
+    spark.range(n).selectExpr("id AS p_partkey", "'Brand#1' AS p_brand", "CAST(id * 7919 % 50 AS int) AS p_size", "CAST(id * 104729 % 10007 AS double) AS p_retailprice").write.parquet(
+        f"{tmp_path}/part.parquet")
+    got = query(spark, str(tmp_path))
+    assert "unboundedfollowing" not in got._jdf.queryExecution().executedPlan().toString()
+    i = np.arange(n)
+    order = np.lexsort((i, i * 7919 % 50))
+    speed = (i * 104729 % 10007)[order].astype(float)
+    later = np.append(np.maximum.accumulate(speed[::-1])[::-1][1:], -1)
+    assert sorted(r.seq for r in got.collect()) == sorted(order[(speed >= later) == on].tolist())
