@@ -1,12 +1,15 @@
 """What must not grow faster than the tables: cells of the grid, steps of running values, bytes of archives."""
 
+import os
+
 import numpy as np
 import pytest
 
 from vectorlab.operators import frontier, grid
 from vectorlab.operators.blocks import Space, TopK
-from vectorlab.registry import scoring
+from vectorlab.registry import results, scoring
 from vectorlab.registry import vectors as queries
+from vectorlab.sources import results as RS
 
 from .conftest import vectors
 
@@ -82,3 +85,29 @@ def test_frontier_queries_over_one_large_group(spark, tmp_path, query, on):
     speed = (i * 104729 % 10007)[order].astype(float)
     later = np.append(np.maximum.accumulate(speed[::-1])[::-1][1:], -1)
     assert sorted(r.seq for r in got.collect()) == sorted(order[(speed >= later) == on].tolist())
+
+
+def written(root):
+    """(files, bytes) of the parts below a folder."""
+    parts = [os.path.join(d, f) for d, _, names in os.walk(root.removeprefix("file:")) for f in names if f.startswith("part-")]
+    return len(parts), sum(map(os.path.getsize, parts))
+
+
+def order_rows(spark, n, path):
+    """Orders in two files; every run has several."""
+    spark.range(0, n, 1, 2).selectExpr(
+        "id AS o_orderkey", f"id * 31 % {n // 4} AS o_custkey", "element_at(array('F', 'O', 'P'), CAST(id % 3 AS int) + 1) AS o_orderstatus",
+        "round(900 + id * 7919 % 100003 / 7, 2) AS o_totalprice", "timestamp_seconds(820454400 + id % 900 * 86400) AS o_orderdate",
+        "element_at(array('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW'), CAST(id % 4 AS int) + 1) AS o_orderpriority").write.parquet(f"{path}/orders.parquet")
+
+
+def test_written_results_are_compressed_in_bounded_files(spark, tmp_path, monkeypatch):
+    order_rows(spark, 1200, tmp_path)
+    monkeypatch.setattr(RS, "COMPRESSED", getattr(RS, "COMPRESSED", {}) | {"maxRecordsPerFile": 100}, raising=False)
+    root, write = [], RS.write_results
+    monkeypatch.setattr(RS, "write_results", lambda rows, path: root.append(path) or write(rows, path))
+    got = {r.db: (r.n, r.qps) for r in results.write_results(spark, str(tmp_path)).collect()}
+    prices = {db: [round(900 + i * 7919 % 100003 / 7, 2) for i in range(k, 1200, 4)] for k, db in enumerate(("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"))}
+    assert {db: (n, round(qps, 1)) for db, (n, qps) in got.items()} == {db: (600, round(1.5 * sum(p), 1)) for db, p in prices.items()}
+    files, size = written(root[0])
+    assert files >= 24 and spark.read.text(root[0]).selectExpr("sum(length(value))").first()[0] > 5 * size

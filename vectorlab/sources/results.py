@@ -17,6 +17,8 @@ CONCURRENT = ["conc_qps_list", "conc_latency_p99_list", "conc_latency_p95_list",
 STAGED = ["st_search_time_list", "st_max_qps_list_list", "st_recall_list", "st_ndcg_list",
           "st_serial_latency_p99_list", "st_serial_latency_p95_list", "st_conc_failed_rate_list"]
 SECRETS = ["password", "api_key"]
+#: How archives are written as lines. One task reads a whole file.
+COMPRESSED = {"compression": "gzip", "maxRecordsPerFile": 250_000}
 
 METRICS = ", ".join(
     ["max_load_count: bigint"] + [f"{c}: double" for c in SCALARS[1:]]
@@ -158,12 +160,13 @@ def per_concurrency_rows(files: DataFrame) -> DataFrame:
 
 
 def write_results(rows: DataFrame, root: str) -> None:
-    """Results by backend folder as JSON lines, without secrets.
+    """Results by backend folder as compressed JSON lines, without secrets.
 
-    `rows` has run_id, task_label, timestamp, db and the nested result `r`.
+    `rows` has run_id, task_label, timestamp, db and the nested result `r`. As text a result is mostly
+    field names. Compressed files don't split, so the rows of one are bounded.
     """
     clean = rows.withColumn("r", without_secrets(F.col("r"), rows.schema["r"].dataType))
-    clean.write.mode("overwrite").partitionBy("db").json(root)
+    clean.write.mode("overwrite").options(**COMPRESSED).partitionBy("db").json(root)
 
 
 def without_secrets(result: Column, schema: StructType) -> Column:
