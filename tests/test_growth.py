@@ -111,3 +111,15 @@ def test_written_results_are_compressed_in_bounded_files(spark, tmp_path, monkey
     assert {db: (n, round(qps, 1)) for db, (n, qps) in got.items()} == {db: (600, round(1.5 * sum(p), 1)) for db, p in prices.items()}
     files, size = written(root[0])
     assert files >= 24 and spark.read.text(root[0]).selectExpr("sum(length(value))").first()[0] > 5 * size
+
+
+def test_archive_is_read_from_compressed_bounded_files(spark, tmp_path, monkeypatch):
+    order_rows(spark, 1200, tmp_path)
+    monkeypatch.setattr(RS, "COMPRESSED", getattr(RS, "COMPRESSED", {}) | {"maxRecordsPerFile": 100}, raising=False)
+    root, read = [], RS.read_result_files
+    monkeypatch.setattr(RS, "read_result_files", lambda spark, path, **named: root.append(path) or read(spark, path, **named))
+    got = results.read_result_files(spark, str(tmp_path))
+    direct = results.flatten_results(spark, str(tmp_path))
+    assert got.count() == 2400 and sorted(map(repr, got.collect())) == sorted(map(repr, direct.select(got.columns).collect()))
+    files, size = written(root[0])
+    assert files >= 12 and spark.read.text(root[0]).selectExpr("sum(length(value))").first()[0] > 5 * size

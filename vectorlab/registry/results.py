@@ -106,8 +106,8 @@ def _flat(df):
 @query("s12_read_result_files", _FLAT_SQL)
 def read_result_files(spark, sf):
     root = scratch_path(spark, "archive")
-    documents(spark, sf).select("value").write.text(root)
-    good, _ = RS.read_result_files(spark, root, one_per_file=False, pattern="*.txt")
+    documents(spark, sf).select("value").write.options(**RS.COMPRESSED).text(root)
+    good, _ = RS.read_result_files(spark, root, one_per_file=False, pattern="*.txt.gz")
     return _flat(RS.flat_cases(good))
 
 
