@@ -1,6 +1,6 @@
 """Top-k for query sets of any size: a grid of query blocks against corpus blocks.
 
-Both sides are packed into rows that hold thousands of vectors each and written to the shared folder. A task reads a
+Both sides are packed into rows that hold a few thousand vectors each and written to the shared folder. A task reads a
 range of query blocks and a range of corpus blocks from there, keeps k rows for each query of the block at hand, and
 sends one row per query block: the k best ids and distances as matrices. These are mergeable in any order; the answers
 of a block are folded one by one. No query passes the driver, nothing is broadcast, and it is one job however many
@@ -23,17 +23,16 @@ from ..session import materialise
 from .blocks import BIT_METRICS, NO_ID, Space, TopK, k_copies, matrix
 
 RESULT = "qid bigint, id bigint, dist double, rank int"
-#: A cell costs the bytes of its two blocks to move and the product of their rows to compute.
-BLOCK_BYTES = 8 << 20
+#: Blocks of a few rows cost more to move and to call than to compare; larger ones take more memory and save little.
+BLOCK_BYTES = 2 << 20
 #: Bytes of corpus blocks that a task holds, and tasks wanted for each core.
 RANGE_BYTES, WAVES = 256 << 20, 4
 
 
-def packed(rows: DataFrame, name: str, block_bytes: int = BLOCK_BYTES, copies: int | None = None,
-           row_bytes: int = 0) -> DataFrame:
+def packed(rows: DataFrame, name: str, block_bytes: int = BLOCK_BYTES, copies: int | None = None) -> DataFrame:
     """`rows(id, emb)` as written blocks (block, ids, vectors, type, dim); ids are 64-bit, vectors keep their element type.
 
-    With `copies`, a block keeps that many rows of one vector, lowest ids first. A row counts as `row_bytes` at least.
+    With `copies`, a block keeps that many rows of one vector, lowest ids first.
     """
     def run(batches: Iterator[pa.RecordBatch]):
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -55,7 +54,7 @@ def packed(rows: DataFrame, name: str, block_bytes: int = BLOCK_BYTES, copies: i
             ids, x = batch.column(0).to_numpy(zero_copy_only=False), matrix(batch.column(1), None)
             if held and held[0][1].shape[1] != x.shape[1]:
                 raise ValueError("vectors of different lengths")
-            step = max(1, block_bytes // max(1, x.shape[1] * x.itemsize, row_bytes))
+            step = max(1, block_bytes // max(1, x.shape[1] * x.itemsize))
             while len(ids):
                 room = step - sum(len(i) for i, _ in held)
                 held.append((ids[:room], x[:room]))
@@ -132,9 +131,7 @@ def grid_top_k(queries: DataFrame, corpus: DataFrame, k: int = 100, metric: str
                block_bytes: int = BLOCK_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Exact k nearest rows of `corpus(id, emb)` for every row of `queries(qid, emb)`, whatever the number of queries."""
     spark = queries.sparkSession
-    if metric_of(metric).name in BIT_METRICS:  # a bit becomes four bytes where it is compared
-        block_bytes = min(block_bytes, BLOCK_BYTES // 4)
-    asked = packed(queries.select(F.col("qid").cast("bigint").alias("id"), "emb"), "query-blocks", block_bytes, row_bytes=16 * k)
+    asked = packed(queries.select(F.col("qid").cast("bigint").alias("id"), "emb"), "query-blocks", block_bytes)
     rows = corpus if where is None else corpus.where(where)
     stored = packed(rows.select(F.col("id").cast("bigint").alias("id"), "emb"), "corpus-blocks", block_bytes, k)
     left = asked.select("block", F.col("ids").alias("qids"), F.col("vectors").alias("queries"), F.col("type").alias("q_type"), F.col("dim").alias("q_dim"))
